@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import encode, splitting
+from foliospark.llm import encode, spans, splitting
 from foliospark.sources.tables import table
 
 
@@ -17,6 +17,16 @@ def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf, "documents"))
 
 
-QUERIES = {"p5_found": p5_found, "p6_ids": p6_ids}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return spans.shared_regions(table(spark, sf, "documents"))
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """How much of each document is shared elsewhere."""
+    docs = table(spark, sf, "documents")
+    return spans.shared_amounts(docs, spans.shared_regions(docs))
+
+
+QUERIES = {"p5_found": p5_found, "p6_ids": p6_ids, "p8_found": p8_found, "p8_shares": p8_shares}
 
 ORACLE: dict[str, str] = {}
