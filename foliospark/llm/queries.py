@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import encode, spans, splitting
+from foliospark.llm import encode, neighbours, spans, splitting
 from foliospark.sources.tables import table
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.neighbour_pairs(table(spark, sf, "embedding_storage"), table(spark, sf, "embedding_configurations"))
+
+
+def p4_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The five nearest articles of each article, with similarities."""
+    return neighbours.neighbours(table(spark, sf, "embedding_storage"), table(spark, sf, "embedding_configurations"))
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.split_texts(table(spark, sf, "documents")).select("doc_id", "part_index", "char_start", "char_end")
 
@@ -27,6 +36,6 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return spans.shared_amounts(docs, spans.shared_regions(docs))
 
 
-QUERIES = {"p5_found": p5_found, "p6_ids": p6_ids, "p8_found": p8_found, "p8_shares": p8_shares}
+QUERIES = {"p4_found": p4_found, "p4_neighbours": p4_neighbours, "p5_found": p5_found, "p6_ids": p6_ids, "p8_found": p8_found, "p8_shares": p8_shares}
 
 ORACLE: dict[str, str] = {}
