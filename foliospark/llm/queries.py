@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import encode, neighbours, spans, splitting
+from foliospark.llm import encode, neighbours, spans, splitting, wrappers
 from foliospark.sources.tables import table
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return wrappers.main_blocks(table(spark, sf, "source_pages"))
+
+
+def p1_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each candidate with a page: the blocks found and the block count stored with it."""
+    found = p1_found(spark, sf).groupBy(F.col("source_html_path").alias("page")).agg(F.count("*").alias("found_blocks"))
+    pages = table(spark, sf, "source_pages").select(F.col("source_html_path").alias("page")).distinct()
+    stored = table(spark, sf, "candidates").groupBy("source_html_path").agg(F.max("editorial_block_count").alias("stored_blocks"))
+    joined = stored.join(pages, F.col("source_html_path") == F.col("page")).join(found, "page", "left")
+    return joined.select("source_html_path", "stored_blocks", F.coalesce("found_blocks", F.lit(0)).alias("found_blocks"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.neighbour_pairs(table(spark, sf, "embedding_storage"), table(spark, sf, "embedding_configurations"))
 
@@ -36,6 +49,6 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return spans.shared_amounts(docs, spans.shared_regions(docs))
 
 
-QUERIES = {"p4_found": p4_found, "p4_neighbours": p4_neighbours, "p5_found": p5_found, "p6_ids": p6_ids, "p8_found": p8_found, "p8_shares": p8_shares}
+QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p5_found": p5_found, "p6_ids": p6_ids, "p8_found": p8_found, "p8_shares": p8_shares}
 
 ORACLE: dict[str, str] = {}
