@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import encode, neighbours, spans, splitting, wrappers
+from foliospark.llm import encode, mixing, neighbours, spans, splitting, wrappers
 from foliospark.sources.tables import table
 
 
@@ -39,6 +39,20 @@ def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf, "documents"))
 
 
+#: The curriculum of the registered queries: the archive early, edited sources late, the rest evenly.
+CURRICULUM = {"web_archive": [(0.0, 1.4), (0.7, 1.0), (1.0, 0.4)], "newsletter": [(0.0, 0.6), (1.0, 1.4)], "transcript": [(0.0, 0.8), (0.5, 0.8), (1.0, 1.6)]}
+
+
+def p7_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """Every copy of every document of the mixture with its training position."""
+    return mixing.mixture(mixing.token_counts(table(spark, sf, "documents")), table(spark, sf, "mix_targets"), CURRICULUM)
+
+
+def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """The shares that the mixture reaches."""
+    return mixing.reached_shares(p7_mixture(spark, sf), table(spark, sf, "mix_targets"))
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return spans.shared_regions(table(spark, sf, "documents"))
 
@@ -49,6 +63,6 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return spans.shared_amounts(docs, spans.shared_regions(docs))
 
 
-QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p5_found": p5_found, "p6_ids": p6_ids, "p8_found": p8_found, "p8_shares": p8_shares}
+QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p5_found": p5_found, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
 
 ORACLE: dict[str, str] = {}
