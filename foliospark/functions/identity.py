@@ -13,8 +13,11 @@ import unicodedata
 from datetime import UTC, datetime
 from urllib.parse import parse_qsl, quote, urlencode, urljoin, urlsplit, urlunsplit
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 #: Ports that a normalised URL leaves out.
 DEFAULT_PORTS = {"http": 80, "https": 443}
@@ -114,6 +117,12 @@ def is_safe_relative_path(path: str | None) -> bool:
     return bool(path) and not path.startswith("/") and "\\" not in path and "\0" not in path and all(p not in ("", ".", "..") for p in path.split("/")) and posixpath.normpath(path) == path
 
 
+@pandas_udf(T.StringType())
+def normalized_url(url: pd.Series) -> pd.Series:
+    """`normalize_url` for a column; null and blank give null."""
+    return url.map(lambda u: normalize_url(u) if u and u.strip() else None)
+
+
 def identity(own_id: Column, normal_url: Column, html_sha256: Column, namespace: str) -> Column:
     """`article_identity` for a URL that is normalised already."""
     trimmed = F.trim(own_id)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.plans import core_problems
+from foliospark.plans import catalog_queries, core_problems
 
-MODULES = (core_problems,)
+MODULES = (core_problems, catalog_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
