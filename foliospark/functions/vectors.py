@@ -32,10 +32,19 @@ def status(v: Column, dimensions: Column) -> Column:
     )
 
 
+def _once(value: Column, use) -> Column:
+    """use(x) with x bound to `value`, which is then evaluated once however often x occurs."""
+    return F.transform(F.array(value), use)[0]
+
+
 def normalized(v: Column) -> Column:
-    """Unit length, as float32; a vector without a direction gives null."""
-    n = norm(v)
-    return F.when((n > 0) & (n < float("inf")), F.transform(v, lambda x: (x.cast("double") / n).cast("float")))
+    """Unit length, as float32; a vector without a direction gives null.
+
+    The norm is bound before it is used: written inside the element function it would be computed again
+    for every element.
+    """
+    unit = lambda x, n: F.when((n > 0) & (n < float("inf")), F.transform(x, lambda e: (e.cast("double") / n).cast("float")))
+    return _once(v, lambda x: _once(norm(x), lambda n: unit(x, n)))
 
 
 def is_unit(v: Column) -> Column:
@@ -75,7 +84,7 @@ def ordered_mean(df: DataFrame, keys: list[str], vector: str, weight: str, order
     first = F.transform(F.col("rows")[0]["v"], lambda x: F.lit(0.0))
     total = F.aggregate("rows", first, lambda acc, r: F.zip_with(acc, r["v"], lambda a, x: a + r["w"] * x.cast("double")))
     weight_sum = F.aggregate("rows", F.lit(0.0), lambda acc, r: acc + r["w"])
-    return rows.select(*keys, F.transform(total, lambda x: x / weight_sum).alias("mean"))
+    return rows.select(*keys, _once(weight_sum, lambda n: F.transform(total, lambda x: x / n)).alias("mean"))
 
 
 def composite_identity(**fields: Column) -> Column:
