@@ -27,6 +27,8 @@ from foliospark.sources.files import Folder
 from foliospark.sources.tables import broadcast_if_small, remove
 
 CURRENT_EXTRACTOR = "7"
+#: Log files of a batch up to which their offset ranges (some 60 bytes each) are broadcast.
+BROADCAST_RANGES = 100_000
 
 
 def plain_path(c: Column) -> Column:
@@ -79,7 +81,8 @@ class ChangeCapture:
         log = read_log(self.spark, log_path)
         ranges = self.spark.createDataFrame([(k, a, b) for k, (a, b) in plan["ranges"].items()], "range_partition string, range_from long, range_until long")
         within = (F.col("log_partition") == F.col("range_partition")) & (F.col("log_offset") >= F.col("range_from")) & (F.col("log_offset") < F.col("range_until"))
-        return log.join(broadcast_if_small(ranges), within).drop("range_partition", "range_from", "range_until")
+        small = len(plan["ranges"]) <= BROADCAST_RANGES  # a frame made of local rows has no size estimate
+        return log.join(F.broadcast(ranges) if small else ranges, within).drop("range_partition", "range_from", "range_until")
 
     def latest(self, rows: DataFrame) -> DataFrame:
         """One row per key, that of the highest version; combined on the map side, so hot keys stay small."""
