@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Ceilings of what passes through, and of what is decoded at all.
 MAX_BYTES, MAX_PIXELS, MAX_DECODED = 5_000_000, 20_000_000, 40_000_000
@@ -56,7 +57,7 @@ def inspect(images: DataFrame, data: str = "data") -> DataFrame:
             pdf[["format", "width", "height", "frames"]] = [facts(x) for x in pdf[data]]
             yield pdf
 
-    schema = images.schema.add("format", "string").add("width", "int").add("height", "int").add("frames", "int")
+    schema = T.StructType([*images.schema, T.StructField("format", T.StringType()), *(T.StructField(n, T.IntegerType()) for n in ("width", "height", "frames"))])
     return images.mapInPandas(run, schema)
 
 

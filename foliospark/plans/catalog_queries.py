@@ -11,7 +11,7 @@ from foliospark.operators import manifest as man
 from foliospark.operators import ranking, validation
 from foliospark.plans.core_problems import _LATEST
 from foliospark.sources import archive, store
-from foliospark.sources.tables import broadcast_if_small, new_folder, table
+from foliospark.sources.tables import broadcast_if_small, new_folder, stage, table
 
 
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,7 +137,8 @@ def repeated_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def catalog_issues(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.preprocessing_issues(table(spark, sf, "source_manifest"), candidates(spark, sf), table(spark, sf, "duplicates"), table(spark, sf, "runs"), articles(spark, sf))
+    c, a = stage(candidates(spark, sf), "candidates"), stage(articles(spark, sf), "articles")  # both feed several checks
+    return validation.preprocessing_issues(table(spark, sf, "source_manifest"), c, table(spark, sf, "duplicates"), table(spark, sf, "runs"), a)
 
 
 def run_issues(spark: SparkSession, sf: str) -> DataFrame:
