@@ -21,6 +21,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,6 +69,19 @@ def unit(rows: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Unit vectors in double precision from a list column of one length, without a Python object per vector."""
+    c = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    x = c.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(c), -1)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def by_group(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """The rows of each value of the column g."""
+    for g in pc.unique(batch.column("g")).to_pylist():
+        yield g, batch.filter(pc.equal(batch.column("g"), g))
+
+
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Unit centroids of spherical k-means and the cluster of each row; empty clusters are left out."""
     rng = np.random.default_rng(seed)
@@ -222,15 +237,15 @@ def calibrate(distinct: DataFrame, trees: dict[str, Tree], s: Settings) -> None:
         asked[g] = ([r.rep for r in own], x, [{leaf: k for k, leaf in enumerate(o)} for o in tree.orders(x, tree.leaves)])
     shared = spark.sparkContext.broadcast((asked, trees))
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, trees = shared.value
-        for pdf in batches:
-            for g, part in pdf.groupby("g"):
+        for batch in batches:
+            for g, part in by_group(batch):
                 if g not in asked:
                     continue
                 names, q, ranks = asked[g]
                 own = [min(r, key=r.get) for r in ranks]  # the leaf of each query
-                x, reps = unit(list(part["v"])), part["rep"].to_numpy()
+                x, reps = matrix(part.column("v")), np.array(part.column("rep").to_pylist(), object)
                 i, j, sim = pairs_above(q, x, s.least)
                 other = np.array([names[a] != reps[b] for a, b in zip(i, j)], bool)
                 i, j, sim = i[other], j[other], sim[other]
@@ -238,9 +253,9 @@ def calibrate(distinct: DataFrame, trees: dict[str, Tree], s: Settings) -> None:
                 found = np.unique(j[at])
                 back = dict(zip(found.tolist(), trees[g].orders(x[found], trees[g].leaves)))
                 rank = [min(ranks[a][back[b][0]], back[b].index(own[a])) for a, b in zip(i[at].tolist(), j[at].tolist())]
-                yield pd.DataFrame({"g": g, "q": i[at], "aid": reps[j[at]], "sim": sim[at], "rank": rank})
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(at), pa.string()), pa.array(i[at], pa.int32()), pa.array(reps[j[at]], pa.string()), pa.array(sim[at], pa.float64()), pa.array(rank, pa.int32())], names=["g", "q", "aid", "sim", "rank"])
 
-    found = distinct.select("g", "rep", "v").mapInPandas(compare, "g string, q int, aid string, sim double, rank int")
+    found = distinct.select("g", "rep", "v").mapInArrow(compare, "g string, q int, aid string, sim double, rank int")
     true = found.withColumn("rn", F.row_number().over(Window.partitionBy("g", "q").orderBy(F.desc("sim"), "aid"))).filter(F.col("rn") <= s.neighbours)
     counts = true.groupBy("g", "rank").count().collect()  # one row per group and visited leaf
     for g, tree in trees.items():
@@ -301,14 +316,15 @@ def _batches(trees: dict[str, Tree], limit: int) -> list[dict[str, Tree]]:
 def _search(distinct: DataFrame, trees: dict[str, Tree], s: Settings, keep: int) -> DataFrame:
     shared = distinct.sparkSession.sparkContext.broadcast(trees)
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for g, part in pdf.groupby("g"):
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for g, part in by_group(batch):
                 tree = shared.value[g]
-                yield part.assign(leaves=tree.orders(unit(list(part["v"])), tree.visits))
+                leaves = pa.array(tree.orders(matrix(part.column("v")), tree.visits), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, leaves], names=[*part.schema.names, "leaves"])
 
     kinds = "g string, h1 long, h2 long, rep string, v array<float>, aids array<string>"
-    placed = stage(distinct.select("g", "h1", "h2", "rep", "v", "aids").mapInPandas(place, f"{kinds}, leaves array<int>"), "placed")
+    placed = stage(distinct.select("g", "h1", "h2", "rep", "v", "aids").mapInArrow(place, f"{kinds}, leaves array<int>"), "placed")
     fresh = [F.col(c).alias(c) for c in ("g", "h1", "h2", "v", "aids")]  # the two sides of the join need columns of their own
     index = placed.select(*fresh, F.col("leaves")[0].alias("leaf"))
     query = placed.select(*fresh, F.explode("leaves").alias("leaf"))
@@ -320,20 +336,24 @@ def _search(distinct: DataFrame, trees: dict[str, Tree], s: Settings, keep: int)
     index = index.join(sizes, ["g", "leaf"]).withColumn("ib", F.pmod("h1", "ni").cast("int")).withColumn("qb", every(F.col("nq"))).drop("ni", "nq")
     query = query.join(sizes, ["g", "leaf"]).withColumn("qb", F.pmod("h1", "nq").cast("int")).withColumn("ib", every(F.col("ni"))).drop("ni", "nq")
 
-    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        columns = ["g", "h1", "h2", "aid", "sim"]
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        names = ["g", "h1", "h2", "aid", "sim"]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.float64()]
         if not len(a) or not len(b):
-            return pd.DataFrame(columns=columns)
-        i, j, sim = pairs_above(unit(list(a["v"])), unit(list(b["v"])), s.least)
-        same = (a["h1"].to_numpy()[i] == b["h1"].to_numpy()[j]) & (a["h2"].to_numpy()[i] == b["h2"].to_numpy()[j])
+            return pa.table([pa.array([], k) for k in kinds], names=names)
+        i, j, sim = pairs_above(matrix(a["v"]), matrix(b["v"]), s.least)
+        keys_of = lambda t: (t["h1"].to_numpy(), t["h2"].to_numpy())
+        (a1, a2), (b1, b2) = keys_of(a), keys_of(b)
+        same = (a1[i] == b1[j]) & (a2[i] == b2[j])
         sim = np.where(same, 1.0, sim)
-        q, aid, qs = _spread(i, j, sim, list(b["aids"]), keep)
-        m, mid, ms = _spread(j[~same], i[~same], sim[~same], list(a["aids"]), keep)
-        pick = lambda c: np.concatenate([a[c].to_numpy()[q], b[c].to_numpy()[m]])
-        return pd.DataFrame({"g": a["g"].iloc[0], "h1": pick("h1"), "h2": pick("h2"), "aid": np.concatenate([aid, mid]), "sim": np.concatenate([qs, ms])})[columns]
+        q, aid, qs = _spread(i, j, sim, b["aids"].to_pylist(), keep)
+        m, mid, ms = _spread(j[~same], i[~same], sim[~same], a["aids"].to_pylist(), keep)
+        both = lambda x, y: np.concatenate([x[q], y[m]])
+        columns = [[a["g"][0].as_py()] * (len(q) + len(m)), both(a1, b1), both(a2, b2), np.concatenate([aid, mid]), np.concatenate([qs, ms])]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     keys = ["g", "leaf", "ib", "qb"]
-    return query.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInPandas(meet, "g string, h1 long, h2 long, aid string, sim double")
+    return query.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(meet, "g string, h1 long, h2 long, aid string, sim double")
 
 
 def neighbour_pairs(vectors: DataFrame, configurations: DataFrame, s: Settings = Settings()) -> DataFrame:
