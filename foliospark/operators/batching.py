@@ -127,7 +127,7 @@ def http_outcome(status: Column) -> tuple[Column, Column]:
 
 
 # Usage counters that are kept.
-USAGE = ("completion_tokens", "image_tokens", "input_tokens", "output_tokens", "prompt_tokens", "total_tokens")
+USAGE = ("input_tokens", "output_tokens", "prompt_tokens", "total_tokens")
 
 
 def sum_usage(exchanges: DataFrame, usage: str, by: list[str]) -> DataFrame:
