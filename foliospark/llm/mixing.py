@@ -93,6 +93,7 @@ def mixture(counts: DataFrame, targets: DataFrame, schedules: dict[str, list[tup
     own. No targets, or none within reach, give no row.
     """
     spark = counts.sparkSession
+    counts = counts.select("doc_id", "source", "n_tokens")
     named = targets.filter("source is not null and target_share is not null and max_repeats is not null").groupBy("source").agg(F.min(F.struct("target_share", "max_repeats")).alias("t"))
     rows = named.join(counts.filter("n_tokens > 0").groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")), "source", "left").collect()  # one row per named source
     available = {r.source: r.tokens or 0 for r in rows}
@@ -120,7 +121,7 @@ def mixture(counts: DataFrame, targets: DataFrame, schedules: dict[str, list[tup
 
 def reached_shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, max_repeats, documents, tokens, reached_share, most_copies) of every named source."""
-    per = mixed.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.countDistinct("doc_id").alias("documents"), (F.max("copy") + 1).alias("most_copies"))
+    per = mixed.select("source", "n_tokens", "doc_id", "copy").groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.countDistinct("doc_id").alias("documents"), (F.max("copy") + 1).alias("most_copies"))
     whole = F.sum(F.coalesce("tokens", F.lit(0))).over(Window.partitionBy())  # one row per named source
     named = targets.filter("source is not null").select(F.col("source").alias("t_source"), "target_share", "max_repeats")
     joined = named.join(per, F.col("t_source") == F.col("source"), "left")
