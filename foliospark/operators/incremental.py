@@ -39,8 +39,10 @@ def plain_path(c: Column) -> Column:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log with its partition and offset of each row."""
-    return spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("log_partition"), F.col("_metadata.row_index").alias("log_offset"))
+    """The log with its partition and offset of each row; columns of its own by these names are left out."""
+    log = spark.read.parquet(path)
+    own = [F.col(f"`{c}`") for c in log.columns if c not in ("log_partition", "log_offset")]
+    return log.select(*own, F.col("_metadata.file_name").alias("log_partition"), F.col("_metadata.row_index").alias("log_offset"))
 
 
 class ChangeCapture:
@@ -136,7 +138,8 @@ def to_process(observations: DataFrame, manifest: DataFrame, runs: DataFrame, ex
         F.col("source_html_path").alias("m_path"), F.col("html_size").alias("m_size"), F.col("html_mtime_ns").alias("m_mtime"), F.lower("source_html_sha256").alias("m_hash"), F.col("extractor_version").alias("m_version"), F.col("status").alias("m_status"), F.col("last_run_id").alias("m_run")
     )
     good = runs.filter("status = 'succeeded'").select(F.col("run_id").alias("r_id")).distinct()
-    joined = observations.join(m, F.col("source_html_path") == F.col("m_path"), "left").join(broadcast_if_small(good), F.col("m_run") == F.col("r_id"), "left")
+    seen = observations.select("source_html_path", "html_size", "html_mtime_ns", "source_html_sha256")
+    joined = seen.join(m, F.col("source_html_path") == F.col("m_path"), "left").join(broadcast_if_small(good), F.col("m_run") == F.col("r_id"), "left")
     hash_ = F.lower("source_html_sha256")
     changed = F.when(hash_.isNotNull(), ~hash_.eqNullSafe(F.col("m_hash"))).otherwise(~F.col("html_size").eqNullSafe(F.col("m_size")) | ~F.col("html_mtime_ns").eqNullSafe(F.col("m_mtime")))
     reason = (

@@ -69,4 +69,12 @@ def test_reasons(spark):
     runs = spark.createDataFrame([("r1", "succeeded"), ("r2", "failed"), ("r1", "succeeded")], "run_id string, status string")
     got = {r.source_html_path: r.reason for r in inc.to_process(obs, man, runs).collect()}
     assert got == {"new": "new", "failed": "not_succeeded", "norun": "unfinished_run", "stale": "stale_extractor", "hash": "changed", "stat": "changed"}
+    clash = obs.withColumns({c: F.lit("x") for c in ("m_path", "r_id", "status", "reason")})
+    assert inc.to_process(clash, man.withColumn("r_id", F.lit(1)), runs).count() == 6
     assert inc.to_process(obs.limit(0), man, runs).count() == 0 and inc.to_process(obs, man.limit(0), runs.limit(0)).count() == 9
+
+
+def test_a_log_with_columns_of_the_same_names(spark, tmp_path):
+    log, c = str(tmp_path / "log"), capture(spark, tmp_path)
+    spark.createDataFrame([("a", 1, "x", 7, 8)], "key string, at long, value string, log_partition int, log_offset int").write.parquet(log)
+    assert state(c.run(log)) == [("a", 1, "x")]
