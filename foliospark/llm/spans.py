@@ -16,7 +16,8 @@ representative to the right and to the left; a full window contains at least one
 Level 3 (the full length) compares, per representative, the stretch of all its full windows as one:
 where two records agree on the whole stretch, all its windows are shared at once. Stretches that
 differ from the others of their representative are compared window by window, once per different
-text, however many records hold it.
+text, however many records hold it; before that, what an eighth of a length of neighbouring windows
+have in common is compared, which settles passages that are shared, but not at the full length.
 
 All comparisons are aggregations by hash of (least record, greatest record), combined on the map
 side: copies of one text collapse before the shuffle, pairs of records are never formed, and a hash
@@ -170,9 +171,18 @@ def shared_windows(docs: DataFrame, length: int = 120, id_column: str = "doc_id"
     survivors = alone.select(*keys, F.explode(F.array_compact(F.array(right, left))).alias("w")).join(good, "w", "left_semi").select(*keys).distinct()
 
     # Level 3: whole stretches first, then window by window within the representatives that have an open one.
+    # What neighbouring windows have in common is compared first: windows are counted in blocks from the
+    # representative's place on, and the core of a block is repeated if any of its windows is.
     rivals = same.join(survivors.select("h").distinct(), "h", "left_semi")
-    starts = F.explode(F.sequence(F.lit(0), F.col("n") - length)).alias("i")
-    windows = stage(rivals.select("a", "z", *keys, "text", starts).select("a", "z", *keys, "i", *_two_hashes(F.expr(f"substring(text, i + 1, {length})"))), "spans-4")
+    block = max(1, length // 8)
+    of = lambda start: F.floor((start - F.col("off")) / block).cast("int")
+    blocks = F.explode(F.sequence(of(F.lit(0)), of(F.col("n") - length))).alias("b")
+    core = F.expr(f"substring(text, off + b * {block} + {block}, {length - block + 1})")
+    cores = stage(rivals.select("a", "z", *keys, "text", blocks).select("a", "z", *keys, "b", *_two_hashes(core)), "spans-4")
+    open_ = cores.join(_repeated(cores, "w1", "w2"), ["w1", "w2"], "left_semi").select(*keys, "b")
+    first = F.col("off") + F.col("b") * block
+    starts = F.explode(F.sequence(F.greatest(F.lit(0), first), F.least(F.col("n") - length, first + block - 1))).alias("i")
+    windows = stage(rivals.join(open_, keys).select("a", "z", *keys, "text", starts).select("a", "z", *keys, "i", *_two_hashes(F.expr(f"substring(text, i + 1, {length})"))), "spans-5")
     both = _repeated(windows, "w1", "w2")
     parts = windows.filter(F.col("a") == F.col("z")).join(both, ["w1", "w2"], "left_semi").select(*keys, "i")
     slim = found.withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit("second"), "text"), "n": F.length("text")}).select("id", "lo", "hi", *keys)
