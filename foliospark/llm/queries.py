@@ -65,4 +65,20 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p5_found": p5_found, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
 
-ORACLE: dict[str, str] = {}
+_NEAR = """WITH v AS (SELECT s.configuration_id, s.modality, s.article_id, s.vector AS x, sqrt(list_sum(list_transform(s.vector, lambda e: e::double * e::double))) AS n
+  FROM embedding_storage s JOIN embedding_configurations c ON c.configuration_id = s.configuration_id AND len(s.vector) = c.dimensions
+  WHERE s.modality IS NOT NULL AND s.article_id IS NOT NULL AND len(list_filter(s.vector, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(s.vector, lambda e: e <> 0)) > 0),
+p AS (SELECT a.configuration_id, a.modality, a.article_id, b.article_id AS neighbour_id, round(list_sum(list_transform(list_zip(a.x, b.x), lambda t: t[1]::double * t[2]::double)) / (a.n * b.n), 12) AS similarity
+  FROM v a JOIN v b ON a.configuration_id = b.configuration_id AND a.modality = b.modality AND a.article_id <> b.article_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY configuration_id, modality, article_id ORDER BY similarity DESC, neighbour_id) AS rn FROM p WHERE similarity >= 0.8)
+"""
+
+ORACLE: dict[str, str] = {
+    "p4_found": _NEAR + "SELECT DISTINCT configuration_id, modality, least(article_id, neighbour_id) AS article_id_a, greatest(article_id, neighbour_id) AS article_id_b FROM k WHERE rn <= 5",
+    "p8_found": """WITH w AS (SELECT doc_id, i, substring(text, (i + 1)::int, 120) AS s FROM (SELECT doc_id, text, unnest(range(length(text) - 119)) AS i FROM documents WHERE doc_id IS NOT NULL AND length(text) >= 120)),
+repeated AS (SELECT s FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+m AS (SELECT DISTINCT doc_id, i FROM w WHERE s IN (SELECT s FROM repeated)),
+n AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 120 THEN 0 ELSE 1 END AS new FROM m),
+g AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM n)
+SELECT doc_id, min(i)::bigint AS char_start, (max(i) + 120)::bigint AS char_end FROM g GROUP BY doc_id, island""",
+}
