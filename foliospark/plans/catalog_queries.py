@@ -99,7 +99,7 @@ def candidate_manifest_mismatches(spark: SparkSession, sf: str) -> DataFrame:
 def keyset_page(spark: SparkSession, sf: str) -> DataFrame:
     """A page of 50 duplicates after a composite key."""
     d = table(spark, sf, "duplicates").select("article_id", "source_html_path", "duplicate_rank")
-    last = F.struct(F.lit("wsj:ART-000000500").alias("article_id"), F.lit("m").alias("source_html_path"))
+    last = F.struct(F.lit("v").alias("article_id"), F.lit("m").alias("source_html_path"))
     return d.filter(F.struct("article_id", "source_html_path") > last).orderBy("article_id", "source_html_path", "duplicate_rank").limit(50)
 
 
@@ -233,7 +233,7 @@ ORACLE = {
     "candidate_manifest_mismatches": _CAND
     + """SELECT c.source_html_path, c.source_html_sha256 IS DISTINCT FROM m.source_html_sha256 AS hash_differs, c.header_image_path IS DISTINCT FROM m.header_image_path AS header_differs, c.article_id IS DISTINCT FROM m.article_id AS identity_differs
   FROM cand c JOIN source_manifest m ON m.source_html_path = c.source_html_path WHERE hash_differs OR header_differs OR identity_differs""",
-    "keyset_page": "SELECT article_id, source_html_path, duplicate_rank FROM duplicates WHERE (article_id, source_html_path) > ('wsj:ART-000000500', 'm') ORDER BY article_id, source_html_path, duplicate_rank LIMIT 50",
+    "keyset_page": "SELECT article_id, source_html_path, duplicate_rank FROM duplicates WHERE (article_id, source_html_path) > ('v', 'm') ORDER BY article_id, source_html_path, duplicate_rank LIMIT 50",
     "limited_scan": "SELECT source_html_path, status FROM source_manifest ORDER BY source_html_path LIMIT 25",
     "header_pairing": r"""WITH img AS (SELECT DISTINCT header_image_path AS p FROM source_manifest WHERE header_image_path IS NOT NULL),
 i AS (SELECT p, regexp_replace(p, '[^/]*$', '') AS folder, lower(regexp_replace(regexp_extract(p, '[^/]*$'), '\.[^.]*$', '')) AS stem, lower(regexp_extract(p, '\.[^.]*$')) AS ext, regexp_extract(p, '[^/]*$') AS name FROM img),
