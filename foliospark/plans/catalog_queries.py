@@ -162,8 +162,12 @@ def text_hashes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def canonical_identities(spark: SparkSession, sf: str) -> DataFrame:
-    """Identities by the fallback chain where the stored id is withheld: URL hash, else content hash."""
-    c = candidates(spark, sf).filter(F.col("canonical_url").startswith("http") | F.col("canonical_url").startswith("HTTP") | F.col("canonical_url").isNull())
+    """Identities of all candidates by the fallback chain where the stored id is withheld: URL hash, else content hash.
+
+    As in extraction, any URL that is not blank once normalised counts, so pages that give the same
+    placeholder ("N/A") share an identity; null, blank, "#" and "/" fall back to the content hash.
+    """
+    c = table(spark, sf, "candidates").filter("source_html_path is not null").dropDuplicates(["source_html_path"])
     return c.select("source_html_path", ids.identity(F.lit(None).cast("string"), ids.normalized_url("canonical_url"), F.col("source_html_sha256"), "id").alias("identity"))
 
 

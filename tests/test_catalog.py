@@ -195,3 +195,15 @@ def test_file_issues(spark):
     refs = spark.createDataFrame([("a", "h"), ("b", "h"), ("../c", "h"), ("d", "h")], "path string, digest string")
     there = spark.createDataFrame([("a", "h"), ("d", "x"), ("e", "h")], "path string, sha256 string")
     assert {r.code: r.n for r in validation.file_issues(refs, there, "markdown", digest="digest").collect()} == {"missing_markdown": 1, "unsafe_markdown_path": 1, "markdown_hash_mismatch": 1, "orphan_markdown": 1}
+
+
+def test_every_candidate_has_an_identity(spark, tmp_path):
+    from foliospark.functions.identity import article_identity, normalize_url
+    from foliospark.plans.catalog_queries import canonical_identities
+
+    urls = [None, "", "  ", "#", "/", "N/A", "undefined", "null", "about:blank", "javascript:void(0)", "HTTPS://H.example:443/a/?b=2&a=1#x", "http://h.example/b", "Http://h.example/b/"]
+    rows = [(f"p{k}", f"a{k}" if k else None, f"{k:064x}", u) for k, u in enumerate(urls)]
+    spark.createDataFrame([*rows, rows[3]], "source_html_path string, article_id string, source_html_sha256 string, canonical_url string").write.parquet(str(tmp_path / "candidates.parquet"))
+    got = [tuple(r) for r in canonical_identities(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted((p, article_identity(None, u and normalize_url(u), h, "id")) for p, _, h, u in rows)
+    assert [dict(got)[f"p{k}"] for k in range(5)] == [f"html:{k:064x}" for k in range(5)]
