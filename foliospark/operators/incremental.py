@@ -39,10 +39,16 @@ def plain_path(c: Column) -> Column:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log with its partition and offset of each row; columns of its own by these names are left out."""
+    """The log with its partition (the file's path within the log) and offset of each row; columns of its own by these names are left out."""
     log = spark.read.parquet(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toUri().getRawPath().rstrip("/") + "/"
+    full = F.col("_metadata.file_path")
+    at = F.locate(root, full)
+    beside = F.col("_metadata.file_name") if not any(c in path for c in "*?[{") else full  # the log is one file, or a pattern
+    partition = F.when(at > 0, F.substr(full, at + F.lit(len(root)))).otherwise(beside)
     own = [F.col(f"`{c}`") for c in log.columns if c not in ("log_partition", "log_offset")]
-    return log.select(*own, F.col("_metadata.file_name").alias("log_partition"), F.col("_metadata.row_index").alias("log_offset"))
+    return log.select(*own, partition.alias("log_partition"), F.col("_metadata.row_index").alias("log_offset"))
 
 
 class ChangeCapture:

@@ -78,3 +78,18 @@ def test_a_log_with_columns_of_the_same_names(spark, tmp_path):
     log, c = str(tmp_path / "log"), capture(spark, tmp_path)
     spark.createDataFrame([("a", 1, "x", 7, 8)], "key string, at long, value string, log_partition int, log_offset int").write.parquet(log)
     assert state(c.run(log)) == [("a", 1, "x")]
+
+
+def test_equal_file_names_in_several_folders(spark, tmp_path):
+    log, c = tmp_path / "a log", capture(spark, tmp_path)
+
+    def add(day, rows):
+        write(spark, str(tmp_path / f"made{day}"), rows)
+        (log / f"day={day}").mkdir(parents=True)
+        next((tmp_path / f"made{day}").glob("*.parquet")).rename(log / f"day={day}" / "data.parquet")
+
+    add(1, [("a", 1, "x"), ("b", 1, "x"), ("c", 1, "x")])
+    assert len(state(c.run(str(log)))) == 3
+    add(2, [("d", 2, "y"), ("a", 2, "y")])
+    assert state(c.run(str(log))) == [("a", 2, "y"), ("b", 1, "x"), ("c", 1, "x"), ("d", 2, "y")]
+    assert sorted(c.offsets()) == ["day=1/data.parquet", "day=2/data.parquet"]
