@@ -1,12 +1,10 @@
-"""Queries of the two general problems: incremental processing and survivorship."""
+"""Queries of the general problem: processing only what is new or changed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from foliospark.operators import incremental as inc
-from foliospark.operators import survivorship as sur
 from foliospark.sources.tables import new_folder, table
 
 
@@ -26,23 +24,7 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return p2_changes(spark, sf).select("source_html_path")
 
 
-def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return sur.sources_by_field(table(spark, sf, "candidates"), table(spark, sf, "runs"))
-
-
-def p3_records(spark: SparkSession, sf: str) -> DataFrame:
-    return sur.surviving_records(table(spark, sf, "candidates"), table(spark, sf, "runs"))
-
-
-def p3_stored_ranks(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored duplicates whose recorded winner is not the surviving record's source."""
-    best = sur.choose(sur.prepare(table(spark, sf, "candidates"), table(spark, sf, "runs")), least_sources=1).select(F.col("article_id").alias("best_article"), F.col("record"))
-    d = table(spark, sf, "duplicates").select("article_id", "source_html_path", "duplicate_rank", "winner_source_html_path")
-    wrong = ~F.col("winner_source_html_path").eqNullSafe(F.col("record"))
-    return d.join(best, F.col("article_id") == F.col("best_article")).filter(wrong).select("article_id", "source_html_path", "duplicate_rank", "winner_source_html_path", F.col("record").alias("expected_winner"))
-
-
-QUERIES = {"p2_found": p2_found, "p2_changes": p2_changes, "p3_found": p3_found, "p3_records": p3_records, "p3_stored_ranks": p3_stored_ranks}
+QUERIES = {"p2_found": p2_found, "p2_changes": p2_changes}
 
 _LATEST = r"""
 WITH plain AS (
@@ -61,35 +43,7 @@ judged AS (
   FROM latest l LEFT JOIN source_manifest m ON m.source_html_path = l.path)
 """
 
-_RANKED = r"""
-WITH lim AS (SELECT max(finished_at) AS latest FROM runs),
-c AS (SELECT article_id, source_html_path, canonical_url, header_image_path, inline_image_urls, editorial_character_count, editorial_block_count, metadata_completeness,
-        CASE WHEN NOT coalesce(updated_at_utc < published_at_utc, false) AND NOT coalesce(updated_at_utc > latest, false) THEN updated_at_utc END AS upd,
-        len(list_distinct(inline_image_urls)) AS n_img
-      FROM candidates, lim WHERE article_id IS NOT NULL AND source_html_path IS NOT NULL),
-r AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY CASE WHEN editorial_character_count > 0 THEN 0 ELSE 1 END,
-        editorial_character_count DESC NULLS LAST, editorial_block_count DESC NULLS LAST, metadata_completeness DESC NULLS LAST, upd DESC NULLS LAST, source_html_path) AS rk FROM c)
-"""
-
 ORACLE = {
     "p2_changes": _LATEST + "SELECT source_html_path, reason FROM judged WHERE reason IS NOT NULL",
     "p2_found": _LATEST + "SELECT source_html_path FROM judged WHERE reason IS NOT NULL",
-    "p3_found": _RANKED
-    + r""", many AS (SELECT article_id FROM r GROUP BY article_id HAVING count(DISTINCT source_html_path) > 1),
-f AS (
-  SELECT article_id, 'record' AS field_name, source_html_path, rk FROM r
-  UNION ALL SELECT article_id, 'canonical_url', source_html_path, rk FROM r WHERE canonical_url LIKE 'http://%' OR canonical_url LIKE 'https://%'
-  UNION ALL SELECT article_id, 'header_image_path', source_html_path, rk FROM r WHERE regexp_matches(lower(header_image_path), '\.(jpg|jpeg|png|webp)$')
-  UNION ALL SELECT article_id, 'updated_at_utc', source_html_path, row_number() OVER (PARTITION BY article_id ORDER BY upd DESC, rk) FROM r WHERE upd IS NOT NULL
-  UNION ALL SELECT article_id, 'inline_image_urls', source_html_path, row_number() OVER (PARTITION BY article_id ORDER BY n_img DESC, rk) FROM r WHERE n_img > 0)
-SELECT article_id, field_name, arg_min(source_html_path, rk) AS source_html_path FROM f WHERE article_id IN (SELECT article_id FROM many) GROUP BY article_id, field_name""",
-    "p3_records": _RANKED
-    + r"""SELECT article_id, count(*) AS rows, arg_min(source_html_path, rk) AS source_html_path,
-  min(CASE WHEN rk = 1 THEN editorial_character_count END) AS editorial_character_count, min(CASE WHEN rk = 1 THEN editorial_block_count END) AS editorial_block_count, min(CASE WHEN rk = 1 THEN metadata_completeness END) AS metadata_completeness,
-  arg_min(canonical_url, rk) FILTER (WHERE canonical_url LIKE 'http://%' OR canonical_url LIKE 'https://%') AS canonical_url,
-  arg_min(header_image_path, rk) FILTER (WHERE regexp_matches(lower(header_image_path), '\.(jpg|jpeg|png|webp)$')) AS header_image_path,
-  coalesce(max(n_img), 0)::int AS inline_images, epoch_us(max(upd)) AS updated_us FROM r GROUP BY article_id""",
-    "p3_stored_ranks": _RANKED
-    + r""", best AS (SELECT article_id, source_html_path AS record FROM r WHERE rk = 1)
-SELECT d.article_id, d.source_html_path, d.duplicate_rank, d.winner_source_html_path, b.record AS expected_winner FROM duplicates d JOIN best b ON b.article_id = d.article_id WHERE d.winner_source_html_path IS DISTINCT FROM b.record""",
 }
