@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from foliospark.llm import encode, mixing, neighbours, spans, splitting, wrappers
 from foliospark.llm import survivorship as sur
-from foliospark.sources.tables import table
+from foliospark.sources.files import Folder
+from foliospark.sources.tables import new_folder, table
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,6 +53,21 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.split_texts(table(spark, sf, "documents")).select("doc_id", "part_index", "char_start", "char_end")
 
 
+#: Bytes of the files that p5_files makes of the texts, about.
+FILE_BYTES = 64 << 20
+
+
+def p5_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All texts as files of one line after the other, in order of id, and the pieces of these files by their number."""
+    texts = table(spark, sf, "documents").filter("text is not null").select("doc_id", "text")
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    folder = new_folder(spark, "texts")
+    texts.repartition(max(8, size // FILE_BYTES), F.xxhash64("doc_id")).sortWithinPartitions("doc_id", "text").select(F.col("text").alias("value")).write.text(folder)
+    names = [f"{folder}/{n}" for n in Folder(spark, folder).names() if n.startswith("part-")]
+    number = F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("file_no")
+    return splitting.split_files(spark, names).select(number, "part_index", "char_start", "char_end")
+
+
 def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode.encode_corpus(table(spark, sf, "documents"))
 
@@ -80,7 +96,7 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return spans.shared_amounts(docs, spans.shared_regions(docs))
 
 
-QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p3_found": p3_found, "p3_records": p3_records, "p3_stored_ranks": p3_stored_ranks, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p5_found": p5_found, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
+QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p3_found": p3_found, "p3_records": p3_records, "p3_stored_ranks": p3_stored_ranks, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p5_found": p5_found, "p5_files": p5_files, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
 
 _RANKED = r"""
 WITH lim AS (SELECT max(finished_at) AS latest FROM runs),
@@ -120,6 +136,18 @@ SELECT article_id, field_name, arg_min(source_html_path, rk) AS source_html_path
     + r""", best AS (SELECT article_id, source_html_path AS record FROM r WHERE rk = 1)
 SELECT d.article_id, d.source_html_path, d.duplicate_rank, d.winner_source_html_path, b.record AS expected_winner FROM duplicates d JOIN best b ON b.article_id = d.article_id WHERE d.winner_source_html_path IS DISTINCT FROM b.record""",
     "p4_found": _NEAR + "SELECT DISTINCT configuration_id, modality, least(article_id, neighbour_id) AS article_id_a, greatest(article_id, neighbour_id) AS article_id_b FROM k WHERE rn <= 5",
+    "p5_found": r"""WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS item, doc_id, text, length(text) AS n FROM documents WHERE length(text) > 2000),
+w AS (SELECT '[ \t\r\n' || chr(160) || chr(12288) || ']+' AS blank),
+pat AS (SELECT '(?:\r?\n[ \t]*){2,}' AS gap, '[.!?' || chr(8230) || '][' || chr(34) || chr(39) || chr(8221) || chr(8217) || chr(187) || ')\]]*' || blank AS sentence, blank FROM w),
+hits AS (SELECT item, list_transform([gap, sentence, blank], lambda p: [list_transform(string_split_regex(text, p), lambda x: length(x)), list_transform(regexp_extract_all(text, p), lambda x: length(x))]) AS z FROM d, pat),
+cells AS (SELECT item, kind, i, z[kind][1][i] + z[kind][2][i] AS step FROM hits, LATERAL (SELECT unnest([1, 2, 3]) AS kind) k, LATERAL (SELECT unnest(range(1, len(z[kind][2]) + 1)) AS i) r),
+places AS (SELECT item, kind, sum(step) OVER (PARTITION BY item, kind ORDER BY i) AS p FROM cells),
+k AS (SELECT d.item, d.doc_id, d.n, list(p) FILTER (WHERE kind = 1) AS gaps, list(p) FILTER (WHERE kind = 2) AS ends, list(p) FILTER (WHERE kind = 3 AND p < d.n) AS words FROM d LEFT JOIN places USING (item) GROUP BY ALL),
+walk AS (SELECT item, -1 AS part_index, 0::bigint AS s, 0::bigint AS e, n AS n FROM k
+UNION ALL SELECT x.item, x.part_index, x.s, CASE WHEN x.n - x.s <= 2000 THEN x.n ELSE coalesce(list_max(list_filter(x.gaps, lambda p: p > x.s + 200 AND p <= x.s + 2000)), list_max(list_filter(x.ends, lambda p: p > x.s + 200 AND p <= x.s + 2000)),
+    list_max(list_filter(x.words, lambda p: p > x.s + 200 AND p <= x.s + 2000)), x.s + 2000)::bigint END, x.n
+  FROM (SELECT k.*, walk.part_index + 1 AS part_index, CASE WHEN walk.part_index < 0 THEN 0 ELSE coalesce(list_min(list_filter(k.words, lambda p: p >= walk.e - 200 AND p < walk.e)), walk.e - 200)::bigint END AS s FROM walk JOIN k USING (item) WHERE walk.e < walk.n) x)
+SELECT doc_id, part_index::bigint AS part_index, s AS char_start, e AS char_end FROM walk JOIN d USING (item) WHERE part_index >= 0""",
     "p8_found": """WITH w AS (SELECT doc_id, i, substring(text, (i + 1)::int, 120) AS s FROM (SELECT doc_id, text, unnest(range(length(text) - 119)) AS i FROM documents WHERE doc_id IS NOT NULL AND length(text) >= 120)),
 repeated AS (SELECT s FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
 m AS (SELECT DISTINCT doc_id, i FROM w WHERE s IN (SELECT s FROM repeated)),
