@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from foliospark.operators import incremental as inc
-from foliospark.sources.tables import new_folder, table
+from foliospark.sources.tables import new_folder, stage, table
 
 
 def _capture(spark: SparkSession, sf: str) -> DataFrame:
@@ -24,7 +27,40 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return p2_changes(spark, sf).select("source_html_path")
 
 
-QUERIES = {"p2_found": p2_found, "p2_changes": p2_changes}
+def p2_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in three batches, as the scans arrived: the second one fails before its commit, and rows that arrive then wait for the third.
+
+    Each batch decides for its own sources only; the last decision on a source holds.
+    """
+    scans = table(spark, sf, "source_scans")
+    log, state = new_folder(spark, "scans-log"), new_folder(spark, "scans-batches")
+    first, last = scans.agg(F.min(F.unix_micros("arrived_at")), F.max(F.unix_micros("arrived_at"))).first()
+    third = F.least(F.floor((F.coalesce(F.unix_micros("arrived_at"), F.lit(first)) - F.lit(first)) * 3 / F.lit(max(1, (last or 0) - (first or 0)))), F.lit(2))
+    capture = inc.ChangeCapture(spark, state, "source_html_path", ("observed_at", "arrived_at"))
+    manifest, runs = table(spark, sf, "source_manifest"), table(spark, sf, "runs")
+    decided = []
+
+    def arrive(k: int) -> None:
+        scans.filter(third == k).write.parquet(f"{log}/arrival={k}")
+
+    def batch() -> None:
+        capture.run(log, inc.observations_of)
+        decided.append(stage(inc.decide(capture, manifest, runs).withColumn("batch", F.lit(len(decided))), "decided"))
+
+    arrive(0)
+    batch()
+    arrive(1)
+    try:
+        capture.run(log, inc.observations_of, fail_before_commit=True)
+    except RuntimeError:
+        arrive(2)
+    batch()
+    batch()
+    every = reduce(DataFrame.unionByName, decided)
+    return every.groupBy("source_html_path").agg(F.max_by("reason", "batch").alias("reason")).filter("reason is not null")
+
+
+QUERIES = {"p2_found": p2_found, "p2_changes": p2_changes, "p2_batches": p2_batches}
 
 _LATEST = r"""
 WITH plain AS (
@@ -45,5 +81,6 @@ judged AS (
 
 ORACLE = {
     "p2_changes": _LATEST + "SELECT source_html_path, reason FROM judged WHERE reason IS NOT NULL",
+    "p2_batches": _LATEST + "SELECT source_html_path, reason FROM judged WHERE reason IS NOT NULL",
     "p2_found": _LATEST + "SELECT source_html_path FROM judged WHERE reason IS NOT NULL",
 }
