@@ -167,7 +167,7 @@ class ChangeCapture:
         folders = [f for f, _ in self.committed()["levels"]]
         if not folders:
             return None
-        found = self._read(folders).join(broadcast_if_small(keys.select(F.col(self.key).alias("wanted_key"))), F.col(self.key) == F.col("wanted_key"), "left_semi")
+        found = self._read(folders).join(keys.select(F.col(self.key).alias("wanted_key")), F.col(self.key) == F.col("wanted_key"), "left_semi")
         return found if len(folders) == 1 else self.latest(found)
 
     def _write(self, rows: DataFrame) -> tuple[str, int]:
@@ -215,7 +215,7 @@ def decide(capture: ChangeCapture, manifest: DataFrame, runs: DataFrame, touched
     if touched_runs is not None:
         ran = touched_runs.select(F.col("run_id").alias("t_run"))
         keys = keys.unionByName(manifest.join(broadcast_if_small(ran), F.col("last_run_id") == F.col("t_run"), "left_semi").select("source_html_path")).distinct()
-    wanted = broadcast_if_small(keys.select(F.col("source_html_path").alias("wanted_key")))
+    wanted = keys.select(F.col("source_html_path").alias("wanted_key"))  # a batch may be of any size: no hint
     own = manifest.join(wanted, F.col("source_html_path") == F.col("wanted_key"), "left_semi")
     return judged(capture.current(keys), own, runs, extractor)
 
