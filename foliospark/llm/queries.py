@@ -45,8 +45,9 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_neighbours(spark: SparkSession, sf: str) -> DataFrame:
-    """The five nearest articles of each article, with similarities."""
-    return neighbours.neighbours(table(spark, sf, "embedding_storage"), table(spark, sf, "embedding_configurations"))
+    """The five nearest articles of each article, with similarities to six digits."""
+    found = neighbours.neighbours(table(spark, sf, "embedding_storage"), table(spark, sf, "embedding_configurations"))
+    return found.withColumn("similarity", F.round("similarity", 6))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,6 +137,7 @@ SELECT article_id, field_name, arg_min(source_html_path, rk) AS source_html_path
     + r""", best AS (SELECT article_id, source_html_path AS record FROM r WHERE rk = 1)
 SELECT d.article_id, d.source_html_path, d.duplicate_rank, d.winner_source_html_path, b.record AS expected_winner FROM duplicates d JOIN best b ON b.article_id = d.article_id WHERE d.winner_source_html_path IS DISTINCT FROM b.record""",
     "p4_found": _NEAR + "SELECT DISTINCT configuration_id, modality, least(article_id, neighbour_id) AS article_id_a, greatest(article_id, neighbour_id) AS article_id_b FROM k WHERE rn <= 5",
+    "p4_neighbours": _NEAR + "SELECT configuration_id, modality, article_id, neighbour_id, round(similarity, 6) AS similarity FROM k WHERE rn <= 5",
     "p5_found": r"""WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS item, doc_id, text, length(text) AS n FROM documents WHERE length(text) > 2000),
 w AS (SELECT '[ \t\r\n' || chr(160) || chr(12288) || ']+' AS blank),
 pat AS (SELECT '(?:\r?\n[ \t]*){2,}' AS gap, '[.!?' || chr(8230) || '][' || chr(34) || chr(39) || chr(8221) || chr(8217) || chr(187) || ')\]]*' || blank AS sentence, blank FROM w),

@@ -75,3 +75,40 @@ def test_search_visits_the_best_leaves_first():
     orders = tree.orders(x[:50], tree.leaves)
     assert all(sorted(o) == list(range(tree.leaves)) for o in orders)
     assert [o[:3] for o in orders] == tree.orders(x[:50], 3)
+
+
+def test_leaves_beyond_the_sample_are_split_on_their_own_members(spark, configurations):
+    rows = data(3000)
+    s = nb.Settings(leaf=30, least_in_leaf=4, sample=200, block=50, queries=100)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    distinct = nb.representatives(nb.usable(frame, configurations), 6)[0]
+    trees, sizes = nb.fit(distinct, s)
+    before = {g: t.leaves for g, t in trees.items()}
+    nb.refine(distinct, trees, sizes, s)
+    vectors = {g: nb.unit([r.v for r in distinct.filter(distinct.g == g).collect()]) for g in trees}
+    for g, t in trees.items():
+        held = np.bincount(t.places(vectors[g]), minlength=t.leaves)
+        assert held.max() <= 60 and sorted(n for n in t.leaf if n >= 0) == list(range(t.leaves))
+        assert all(sorted(o) == list(range(t.leaves)) for o in t.orders(vectors[g][:20], t.leaves))
+    assert any(t.leaves > before[g] for g, t in trees.items())
+    got = {tuple(x) for x in nb.neighbour_pairs(frame, configurations, s).collect()}
+    expect = brute(rows, {"c1": 16, "c2": 3})
+    assert len(got & expect) >= 0.97 * len(expect) and len(got - expect) <= 0.03 * len(expect)
+
+
+def test_a_few_crowded_vectors_in_sparse_surroundings(spark, configurations):
+    r = np.random.default_rng(8)
+    rows = [("c1", "text", f"a{i:05d}", r.normal(size=16).astype(np.float32).tolist(), 16, "", 0) for i in range(1500)]
+    centre = r.normal(size=16)
+    rows += [("c1", "text", f"z{i:05d}", (centre + 0.1 * r.normal(size=16)).astype(np.float32).tolist(), 16, "", 0) for i in range(25)]
+    s = nb.Settings(leaf=30, least_in_leaf=4, queries=10, more_queries=20)
+    got = {tuple(x) for x in nb.neighbour_pairs(spark.createDataFrame(rows, SCHEMA), configurations, s).collect()}
+    assert got == brute(rows, {"c1": 16})
+
+
+def test_large_and_small_trees_search_alike(monkeypatch):
+    x = nb.unit(list(np.random.default_rng(6).normal(size=(3000, 8))))
+    tree = nb.grow(x, len(x), nb.Settings(leaf=40))
+    whole = tree.orders(x[:100], 20)
+    monkeypatch.setattr(nb, "DENSE", 1)
+    assert sum(a == b for a, b in zip(tree.orders(x[:100], 20), whole)) >= 98
