@@ -11,7 +11,7 @@ import posixpath
 import re
 import unicodedata
 from datetime import UTC, datetime
-from urllib.parse import parse_qsl, quote, urlencode, urljoin, urlsplit, urlunsplit
+from urllib.parse import quote, quote_plus, unquote_plus, urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -34,14 +34,47 @@ def clean_text(value: str) -> str:
     return unicodedata.normalize("NFC", " ".join(value.split()))
 
 
-def _authority(scheme: str, parts) -> str | None:
-    """Host with a port only where it is not the scheme's own; None if the port cannot be read."""
-    try:
-        port = parts.port
-    except ValueError:
-        return None
-    host = (parts.hostname or "").casefold()
-    return host if port is None or DEFAULT_PORTS.get(scheme) == port else f"{host}:{port}"
+#: scheme, site (what stands between "//" and the path), path, query, fragment
+_PARTS = re.compile(r"(?:(?P<scheme>[A-Za-z][A-Za-z0-9+.-]*):)?(?P<site>//[^/?#]*)?(?P<path>[^?#]*)(?P<query>\?[^#]*)?(?P<fragment>#.*)?", re.S)
+#: user and password, host (an address in brackets, or a name), port
+_SITE = re.compile(r"(?:.*@)?(?:\[(?P<address>[^\[\]]*)\]|(?P<name>[^:\[\]]*))(?::(?P<port>[0-9]{0,5}))?", re.S)
+
+
+class Url:
+    """A URL taken apart. `host` is None where host or port cannot be read, and "" where there is none."""
+
+    def __init__(self, text: str) -> None:
+        m = _PARTS.fullmatch(re.sub(r"[\t\r\n]", "", text))
+        self.scheme = (m["scheme"] or "").lower()
+        self.path, self.query, self.fragment = m["path"], (m["query"] or "")[1:], (m["fragment"] or "")[1:]
+        self.host, self.port = "", None
+        site = _SITE.fullmatch((m["site"] or "//")[2:])
+        if site is None or int(site["port"] or 0) > 65_535:
+            self.host = None
+        else:
+            self.host = (site["name"] if site["address"] is None else site["address"]).lower().casefold()
+            self.port = int(site["port"]) if site["port"] else None
+
+    def is_web(self) -> bool:
+        return self.scheme in DEFAULT_PORTS and bool(self.host)
+
+    def site(self) -> str:
+        """Host, and port if it is not the scheme's own."""
+        usual = self.port is None or self.port == DEFAULT_PORTS.get(self.scheme)
+        return self.host if usual else f"{self.host}:{self.port}"
+
+    def text(self, path: str, query: str, fragment: str) -> str:
+        """The URL put together with other parts behind its site."""
+        out = f"{self.scheme}:" if self.scheme else ""
+        if self.host or self.scheme in DEFAULT_PORTS:
+            out += "//" + self.site() + ("" if path[:1] in ("", "/") else "/")
+        return out + path + (f"?{query}" if query else "") + (f"#{fragment}" if fragment else "")
+
+
+def sorted_query(query: str) -> str:
+    """The pairs of a query, decoded, in order and encoded again; pairs without a value keep their "="."""
+    pairs = [p.partition("=")[::2] for p in query.split("&") if p]
+    return "&".join(f"{quote_plus(k)}={quote_plus(v)}" for k, v in sorted((unquote_plus(k), unquote_plus(v)) for k, v in pairs))
 
 
 def normalize_url(value: str) -> str:
@@ -49,44 +82,26 @@ def normalize_url(value: str) -> str:
 
     A URL whose port cannot be read stays as it is, trimmed.
     """
-    raw = value.strip()
-    parts = urlsplit(raw)
-    scheme = parts.scheme.casefold()
-    host = _authority(scheme, parts)
-    if host is None:
-        return raw
-    query = urlencode(sorted(parse_qsl(parts.query, keep_blank_values=True)))
-    return urlunsplit((scheme, host, parts.path.rstrip("/"), query, ""))
+    trimmed = value.strip()
+    url = Url(trimmed)
+    return trimmed if url.host is None else url.text(url.path.rstrip("/"), sorted_query(url.query), "")
 
 
 def resolve_url(value: str, base: str | None) -> str | None:
     """An absolute, quoted http(s) URL, or None."""
-    raw = value.strip()
-    if not raw:
+    if not value.strip():
         return None
     try:
-        parts = urlsplit(urljoin(base or "", raw))
-    except ValueError:
+        url = Url(urljoin(base or "", value.strip()))
+    except ValueError:  # what urljoin refuses, such as half an address in brackets
         return None
-    scheme = parts.scheme.casefold()
-    if scheme not in DEFAULT_PORTS or not parts.netloc:
-        return None
-    host = _authority(scheme, parts)
-    if host is None:
-        return None
-    return urlunsplit((scheme, host, quote(parts.path, safe=SAFE_PATH), quote(parts.query, safe=SAFE_QUERY), quote(parts.fragment, safe=SAFE_FRAGMENT)))
+    quoted = (quote(part, safe=safe) for part, safe in ((url.path, SAFE_PATH), (url.query, SAFE_QUERY), (url.fragment, SAFE_FRAGMENT)))
+    return url.text(*quoted) if url.is_web() else None
 
 
 def is_http_url(value: str | None) -> bool:
     """Whether a stored URL is http(s), free of whitespace, and has a host and a readable port."""
-    if not value or re.search(r"\s", value):
-        return False
-    try:
-        parts = urlsplit(value)
-        _ = parts.port
-    except ValueError:
-        return False
-    return parts.scheme in DEFAULT_PORTS and bool(parts.hostname)
+    return bool(value) and not any(map(str.isspace, value)) and Url(value).is_web()
 
 
 def article_identity(own_id: str | None, canonical_url: str | None, html_sha256: str, namespace: str) -> str:

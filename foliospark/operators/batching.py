@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -99,17 +101,11 @@ def wait_seconds(reservations: list[tuple[datetime, int]], costs: list[int], now
     if now.tzinfo is None or any(at.tzinfo is None or at > now or type(t) is not int or t < 0 for at, t in reservations):
         raise ValueError("the reservations are not valid")
     live = sorted(reservations)
-    requests, tokens = len(live), sum(t for _, t in live)
-    fits = lambda: requests + len(costs) <= policy.quota_requests and tokens + sum(costs) <= policy.quota_tokens
-    wait = 0.0
-    for at, used in [*live, (None, 0)]:
-        if fits():
-            return wait
-        if at is None:
-            break
-        requests, tokens = requests - 1, tokens - used
-        wait = max(0.0, (at + timedelta(seconds=policy.window_seconds) - now).total_seconds())
-    raise ValueError("the reservations are not valid")
+    freed = [0, *accumulate(t for _, t in live)]  # tokens that are free again after the oldest k have expired
+    expire = max(0, len(live) + len(costs) - policy.quota_requests, bisect_left(freed, freed[-1] + sum(costs) - policy.quota_tokens))
+    if expire > len(live):
+        raise ValueError("the reservations are not valid")
+    return max(0.0, (live[expire - 1][0] + timedelta(seconds=policy.window_seconds) - now).total_seconds()) if expire else 0.0
 
 
 # Codes of HTTP statuses; the other ones are request_failure.

@@ -67,13 +67,13 @@ def plan(text: str, limit: int, tokens: Callable[[str], Offsets] = code_points)
 
 def _cut(rest: str, limit: int, tokens: Callable[[str], Offsets], count: Callable[[str], int]) -> int:
     """The last token end whose prefix is within the limit when it is tokenized alone."""
-    offsets = tokens(rest)
-    for k in range(min(limit, len(offsets)) - 1, -1, -1):
-        end = offsets[k][1]
-        following = offsets[k + 1][0] if k + 1 < len(offsets) else len(rest)
-        if following >= end and count(rest[:end]) <= limit:
-            return end
-    raise ValueError("no token end is within the limit")
+    first = tokens(rest)[: limit + 1]
+    starts = [a for a, _ in first[1:]] + ([len(rest)] if len(first) <= limit else [])
+    parted = [end for (_, end), start in zip(first[:limit], starts) if end <= start]  # no token reaches over these ends
+    fitting = (end for end in reversed(parted) if count(rest[:end]) <= limit)
+    if (end := next(fitting, None)) is None:
+        raise ValueError("no token end is within the limit")
+    return end
 
 
 def plan_parts(docs: DataFrame, limit: int, id_column: str = "doc_id", text_column: str = "text", tokens: Callable[[str], Offsets] = code_points) -> DataFrame:
