@@ -171,18 +171,11 @@ def canonical_identities(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("source_html_path", ids.identity(F.lit(None).cast("string"), ids.normalized_url("canonical_url"), F.col("source_html_sha256"), "id").alias("identity"))
 
 
-def page_extraction(spark: SparkSession, sf: str) -> DataFrame:
-    """Extraction over the raw pages: these carry no publication time, so each fails with its reason."""
-    from foliospark.operators.extraction import extract_articles
-
-    return extract_articles(table(spark, sf, "source_pages").filter("html is not null").select("source_html_path", "html").distinct()).select("source_html_path", "source_html_sha256", "error_code")
-
-
 QUERIES = {
     f.__name__: f
     for f in (
         rank_winners, candidate_ranks, duplicate_audit, duplicate_differences, markdown_paths, new_york_dates, date_range_research, source_kinds, run_counters, missing_sources, affected_identities, unknown_sources,
-        candidate_manifest_mismatches, keyset_page, limited_scan, header_pairing, latest_run, run_summaries, inventory_counts, repeated_candidates, catalog_issues, run_issues, manifest_upsert, escaped_texts, text_hashes, canonical_identities, page_extraction,
+        candidate_manifest_mismatches, keyset_page, limited_scan, header_pairing, latest_run, run_summaries, inventory_counts, repeated_candidates, catalog_issues, run_issues, manifest_upsert, escaped_texts, text_hashes, canonical_identities,
     )
 }
 
@@ -283,5 +276,4 @@ UNION ALL SELECT 'invalid_inline_image_url', count(*) FROM art WHERE len(list_fi
 UNION ALL SELECT source_html_path, 'succeeded', 'run-next' FROM kinds WHERE kind IN ('new', 'stat_changed')""",
     "escaped_texts": r"""SELECT doc_id, sha256(e) AS escaped_sha256, length(e)::int AS escaped_length FROM (SELECT doc_id, regexp_replace(text, '([\\`*_\[\]{}|])', '\\\1', 'g') AS e FROM documents)""",
     "text_hashes": "SELECT doc_id, length(text)::int AS chars, octet_length(encode(text))::int AS bytes, sha256(text) AS text_sha256 FROM documents",
-    "page_extraction": "SELECT DISTINCT source_html_path, sha256(html) AS source_html_sha256, 'missing_publication_timestamp' AS error_code FROM source_pages WHERE html IS NOT NULL",
 }
