@@ -154,6 +154,17 @@ def markdown_path(article_id: Column, date: Column) -> Column:
     return F.concat(F.lit("text/"), F.date_format(date, "yyyy/MM/dd"), F.lit("/"), F.sha2(article_id, 256), F.lit(".md"))
 
 
+def is_safe_path(c: Column) -> Column:
+    """`is_safe_relative_path` as a column; null for null."""
+    return c.rlike(r"(?s)\A(?!/)(?!.*//)(?!.*/\z)(?!.*(?:\A|/)\.\.?(?:/|\z))[^\\\x00]+\z")
+
+
+def http_url(c: Column) -> Column:
+    """`is_http_url` as a column; null for null."""
+    port = r"0*(?:[0-9]{1,4}|[1-5][0-9]{4}|6[0-4][0-9]{3}|65[0-4][0-9]{2}|655[0-2][0-9]|6553[0-5])"
+    return c.rlike(rf"(?i)\Ahttps?://(?:[^\s/?#]*@)?(?:\[[^\s\[\]]+\]|[^\s:/?#\[\]@]+)(?::(?:{port})?)?(?:[/?#]\S*)?\z")
+
+
 def is_sha256(c: Column) -> Column:
     """Exactly 64 lower hexadecimal digits; a trailing line end does not pass."""
     return F.coalesce(c.rlike(r"\A[0-9a-f]{64}\z"), F.lit(False))

@@ -2,38 +2,33 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions import vectors as vec
 from foliospark.operators.validation import counts, issues, number
 
-#: How far a recomputed component may lie from the stored one.
-TOLERANCE = 1e-6
-
 
 def differs(stored: Column, again: Column) -> Column:
-    """Whether two vectors differ in length or, beyond the tolerance, in any component."""
-    apart = F.exists(F.zip_with(stored, again, lambda x, y: F.abs(x.cast("double") - y.cast("double"))), lambda d: d.isNull() | F.isnan(d) | (d > TOLERANCE))
-    return F.coalesce((F.size(stored) != F.size(again)) | apart, F.lit(True))
+    """Whether two vectors differ in any component: a derived vector is recomputed to the last bit."""
+    return ~stored.eqNullSafe(again)
 
 
-def composite_issues(composites: DataFrame, provenance: DataFrame, generations: DataFrame, formula: str) -> DataFrame:
+def composite_issues(composites: DataFrame, provenance: DataFrame, generations: DataFrame, orphans: bool = True) -> DataFrame:
     """Issues of composites against what they say they were derived from.
 
-    composites: article_id, configuration_id, generation_run_id, input_sha256, vector; provenance: the
-    same key with text_/header_generation_run_id and text_/header_hash; generations: every generation of
-    text and header vectors (article_id, configuration_id, modality, generation_run_id, hash, vector).
+    composites: article_id, configuration_id, generation_run_id, input_sha256, vector, hash, formula; provenance:
+    the same key with text_/header_generation_run_id, text_/header_hash and formula_version; generations: every
+    generation of text and header vectors (article_id, configuration_id, modality, generation_run_id, hash, vector).
+    Provenance of no composite is an issue where `orphans` asks for it.
     """
     key = ["article_id", "configuration_id", "generation_run_id"]
     side = lambda m, p: generations.filter(F.col("modality") == m).select("article_id", "configuration_id", F.col("generation_run_id").alias(f"{p}_generation_run_id"), F.col("hash").alias(f"{p}_found"), F.col("vector").alias(f"{p}_vector"))
     j = composites.join(provenance.withColumn("told", F.lit(True)), key, "left")
     for m, p in (("article_text", "text"), ("header_image", "header")):
         j = j.join(side(m, p), ["article_id", "configuration_id", f"{p}_generation_run_id"], "left")
-    derived = vec.composite_identity(formula_version=F.lit(formula), text_generation_run_id=F.col("text_generation_run_id"), text_stored_vector_sha256=F.col("text_hash"), header_image_generation_run_id=F.col("header_generation_run_id"), header_image_stored_vector_sha256=F.col("header_hash"))
-    told, linked = F.col("told").isNotNull(), F.col("text_found").eqNullSafe(F.col("text_hash")) & F.col("header_found").eqNullSafe(F.col("header_hash"))
+    derived = vec.composite_identity(formula_version=F.col("formula"), text_generation_run_id=F.col("text_generation_run_id"), text_stored_vector_sha256=F.col("text_hash"), header_image_generation_run_id=F.col("header_generation_run_id"), header_image_stored_vector_sha256=F.col("header_hash"))
+    told, linked = F.col("told").isNotNull(), F.col("text_found").eqNullSafe(F.col("text_hash")) & F.col("header_found").eqNullSafe(F.col("header_hash")) & F.col("formula_version").eqNullSafe(F.col("formula"))
     again = vec.midpoint(F.col("text_vector"), F.col("header_vector"))
     j = j.withColumn("again", again)
     orphan = provenance.join(composites.select(*key), key, "left_anti")
@@ -45,10 +40,10 @@ def composite_issues(composites: DataFrame, provenance: DataFrame, generations:
                 "multimodal_input_identity_mismatch": told & ~derived.eqNullSafe(F.col("input_sha256")),
                 "invalid_multimodal_source_linkage": told & ~linked,
                 "multimodal_recomputation_failed": told & linked & F.col("again").isNull(),
-                "multimodal_vector_mismatch": told & linked & F.col("again").isNotNull() & differs(F.col("vector"), F.col("again")),
+                "multimodal_vector_mismatch": told & linked & F.col("again").isNotNull() & (differs(F.col("vector"), F.col("again")) | ~vec.vector_hash("again").eqNullSafe(F.col("hash"))),
             },
         ),
-        number(orphan, "invalid_multimodal_provenance"),
+        *([number(orphan, "invalid_multimodal_provenance")] if orphans else []),
     )
 
 
@@ -84,21 +79,3 @@ def aggregate_issues(aggregates: DataFrame, provenance: DataFrame, parts: DataFr
             },
         )
     )
-
-
-def history_issues(history: DataFrame, runs: DataFrame, reasons: tuple[str, ...]) -> DataFrame:
-    """Issues of archived generations: unknown runs, reasons and hashes."""
-    from foliospark.functions.identity import is_sha256
-
-    r = runs.select(F.col("run_id").alias("r_id")).distinct()
-    j = history.join(r, F.col("superseded_run_id") == F.col("r_id"), "left")
-    return issues(
-        counts(
-            j,
-            {
-                "invalid_generation_run_reference": F.col("r_id").isNull(),
-                "invalid_supersession_reason": ~F.col("supersession_reason").isin(*reasons),
-                "invalid_generation_hash": reduce(lambda a, b: a | b, [~is_sha256(F.col(c)) for c in ("input_sha256", "stored_vector_sha256")]),
-            },
-        )
-    )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import time
+from collections.abc import Callable
 from datetime import UTC, datetime
 from email.utils import parsedate_to_datetime
 
@@ -22,13 +24,59 @@ def live(reservations: DataFrame, now: Column, policy: Policy) -> DataFrame:
     return reservations.filter(F.unix_micros("reserved_at") > F.unix_micros(now) - policy.window_seconds * 1_000_000)
 
 
+def within_window(reservations: DataFrame, now: datetime, policy: Policy) -> list[tuple[datetime, int]]:
+    """The live reservations, oldest first; ValueError if there are more than the policy allows, which no run can have made."""
+    at = lambda t: t.astimezone(UTC) if t.tzinfo else t.replace(tzinfo=UTC)
+    kept = live(reservations, F.lit(now), policy).select("reserved_at", "tokens").orderBy("reserved_at").take(policy.quota_requests + 1)
+    if len(kept) > policy.quota_requests:
+        raise ValueError("more requests are reserved than the policy allows")
+    return [(at(r.reserved_at), r.tokens) for r in kept]
+
+
 def reserve(reservations: DataFrame, costs: list[int], now: datetime, policy: Policy) -> tuple[float, list[int]]:
     """(seconds to wait, tokens to reserve): all of a wave's requests or none of them. Only a window's reservations are read."""
-    kept = live(reservations, F.lit(now), policy).select("reserved_at", "tokens").limit(policy.quota_requests + 1).collect()
-    wait = wait_seconds([(r.reserved_at.astimezone(UTC) if r.reserved_at.tzinfo else r.reserved_at.replace(tzinfo=UTC), r.tokens) for r in kept], costs, now, policy)
+    wait = wait_seconds(within_window(reservations, now, policy), costs, now, policy)
     return wait, [] if wait else list(costs)
 
 
+class Pace:
+    """Holds a stream of waves of requests to the rolling quota, and its concurrency to what the provider bears.
+
+    Reserves before a wave is sent and gives nothing back; usage that is reported later can only raise what
+    was reserved. `clock` and `sleep` can be replaced in tests.
+    """
+
+    def __init__(self, policy: Policy, made: list[tuple[datetime, int]] = [], clock: Callable[[], datetime] = lambda: datetime.now(UTC), sleep: Callable[[float], None] = time.sleep) -> None:  # noqa: B006
+        self.policy, self.clock, self.sleep = policy, clock, sleep
+        self.live, self.reserved, self.concurrency, self.throttles = sorted(made), [], policy.concurrency, 0
+
+    def admit(self, costs: list[int]) -> list[int]:
+        """Wait until the wave fits, reserve it, and return the numbers of its reservations."""
+        while True:
+            now = self.clock()
+            self.live = [x for x in self.live if (now - x[0]).total_seconds() < self.policy.window_seconds]
+            wait = wait_seconds(self.live, costs, now, self.policy)
+            if not wait:
+                break
+            self.sleep(wait)
+        self.live += [(now, c) for c in costs]
+        self.reserved += [[now, c, None] for c in costs]
+        return list(range(len(self.reserved) - len(costs), len(self.reserved)))
+
+    def observe(self, number: int, usage: object) -> None:
+        """Take note of the input tokens that a response reports."""
+        seen = observed_tokens(usage)
+        at, estimate, _ = self.reserved[number]
+        if seen is not None:
+            self.reserved[number][2] = max(seen, estimate)
+            if seen > estimate:
+                self.live.append((at, seen - estimate))
+
+    def throttle(self) -> None:
+        self.throttles += 1
+        self.concurrency = max(1, self.concurrency // 2)
+
+
 def settle_usage(estimates: dict[str, int], observed: int | None) -> dict[str, int]:
     """Reservations of one response after its usage is known: debt can only rise, and the excess goes to the least id."""
     out = dict(estimates)

@@ -9,6 +9,11 @@ from foliospark.operators.work import KEY
 
 EXPECTED = {"source_relative_path": "expected_source_relative_path", "input_sha256": "expected_input_sha256", "state": "expected_state", "generation_run_id": "expected_generation_run_id"}
 
+EXPECTED_VECTOR = {
+    "source_relative_path": "expected_vector_source_relative_path", "input_sha256": "expected_vector_input_sha256", "derivation_kind": "expected_derivation_kind", "raw_response_sha256": "expected_raw_response_sha256",
+    "response_model": "expected_response_model", "stored_vector_sha256": "expected_stored_vector_sha256",
+}
+
 
 def stage_actions(work: DataFrame, vectors: DataFrame, seen: DataFrame, run_id: str) -> DataFrame:
     """Actions for work whose article was not seen, or whose header is another one now, with what they expect to find.
@@ -18,7 +23,7 @@ def stage_actions(work: DataFrame, vectors: DataFrame, seen: DataFrame, run_id:
     """
     s = seen.select(F.col("article_id").alias("s_article"), F.col("header_image_path").alias("s_header"))
     headers = work.filter("modality = 'header_image'").select(F.col("article_id").alias("h_article"), F.col("configuration_id").alias("h_configuration"), F.col("source_relative_path").alias("h_path"))
-    v = vectors.select(*KEY, F.col("input_sha256").alias("expected_vector_input_sha256"), F.col("stored_vector_sha256").alias("expected_stored_vector_sha256"))
+    v = vectors.select(*KEY, *(F.col(c).alias(e) for c, e in EXPECTED_VECTOR.items()))
     j = work.join(s, F.col("article_id") == F.col("s_article"), "left").join(headers, (F.col("article_id") == F.col("h_article")) & (F.col("configuration_id") == F.col("h_configuration")), "left").join(v, KEY, "left")
     gone, header, composite = F.col("s_article").isNull(), F.col("modality") == "header_image", F.col("modality") == "multimodal_article"
     moved = header & ~F.col("source_relative_path").eqNullSafe(F.col("s_header"))
@@ -29,8 +34,7 @@ def stage_actions(work: DataFrame, vectors: DataFrame, seen: DataFrame, run_id:
         F.when(~gone & header, F.col("s_header")).alias("target_source_relative_path"),
         F.when(~gone & header & F.col("s_header").isNull(), "not_applicable").otherwise("stale_input").alias("target_state"),
         *(F.col(c).alias(e) for c, e in EXPECTED.items()),
-        "expected_vector_input_sha256",
-        "expected_stored_vector_sha256",
+        *EXPECTED_VECTOR.values(),
         F.current_timestamp().alias("staged_at"),
     )
 
@@ -38,12 +42,13 @@ def stage_actions(work: DataFrame, vectors: DataFrame, seen: DataFrame, run_id:
 def unexpected(actions: DataFrame, work: DataFrame, vectors: DataFrame) -> DataFrame:
     """Actions whose work or vector is not what it was when they were staged; a run with any may not become visible."""
     w = work.select(*KEY, F.lit(True).alias("w_there"), *(F.col(c).alias("w_" + c) for c in EXPECTED))
-    v = vectors.select(*KEY, F.col("input_sha256").alias("v_input"), F.col("stored_vector_sha256").alias("v_hash"))
+    v = vectors.select(*KEY, *(F.col(c).alias("v_" + c) for c in EXPECTED_VECTOR))
     j = actions.join(w, KEY, "left").join(v, KEY, "left")
     differs = F.col("w_there").isNull()
     for c, e in EXPECTED.items():
         differs |= ~F.col("w_" + c).eqNullSafe(F.col(e))
-    differs |= ~F.col("v_input").eqNullSafe(F.col("expected_vector_input_sha256")) | ~F.col("v_hash").eqNullSafe(F.col("expected_stored_vector_sha256"))
+    for c, e in EXPECTED_VECTOR.items():
+        differs |= ~F.col("v_" + c).eqNullSafe(F.col(e))
     return j.filter(differs).select("run_id", *KEY)
 
 
@@ -71,8 +76,9 @@ def compact(work: DataFrame, vectors: DataFrame, history: DataFrame, actions: Da
     seen = visible_actions(actions, runs)
     lost = vectors.join(seen.select(*KEY, F.col("run_id").alias("a_run"), F.col("expected_generation_run_id").alias("a_generation")), KEY)
     archived = lost.select(
-        *KEY, F.col("a_generation").alias("generation_run_id"), "source_relative_path", "input_sha256", "derivation_kind", "stored_vector_sha256", F.lit("input_changed").alias("supersession_reason"), F.col("a_run").alias("superseded_run_id")
-    )
+        *KEY, F.col("a_generation").alias("generation_run_id"), "source_relative_path", "input_sha256", "derivation_kind", "raw_response_sha256", "response_model", "stored_vector_sha256",
+        F.col("a_run").alias("superseded_run_id"), F.lit("input_changed").alias("superseded_reason"), F.current_timestamp().alias("superseded_at"),
+    )
     rest = actions.join(seen.select("run_id").distinct(), "run_id", "left_anti").select(*actions.columns)
     return visible_work(work, actions, runs), visible_vectors(vectors, actions, runs), history.unionByName(archived.select(*history.columns)), rest
 

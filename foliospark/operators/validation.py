@@ -81,7 +81,7 @@ def article_checks(articles: DataFrame) -> DataFrame:
             "publication_date_mismatch": ~day.eqNullSafe(F.col("publication_date_new_york")),
             "markdown_path_mismatch": ~F.col("cleaned_markdown_path").eqNullSafe(ids.markdown_path(F.col("article_id"), F.col("publication_date_new_york"))),
             "unstable_inline_image_urls": F.size(F.array_distinct(urls)) != F.size(urls),
-            "invalid_inline_image_url": F.exists(urls, lambda u: ~u.rlike(r"\Ahttps?://[^\s/]+")),
+            "invalid_inline_image_url": F.exists(urls, lambda u: ~ids.http_url(u)),
         },
     )
 
@@ -129,7 +129,7 @@ def preprocessing_issues(manifest: DataFrame, candidates: DataFrame, duplicates:
 
 def file_issues(referenced: DataFrame, listing: DataFrame, kind: str, path: str = "path", digest: str | None = None) -> DataFrame:
     """missing_<kind>, unsafe_<kind>_path, <kind>_hash_mismatch and orphan_<kind> of references (path[, digest]) against a listing (path[, sha256])."""
-    safe = F.col(path).rlike(r"\A(?!/)(?!.*//)(?!.*(?:\A|/)\.\.?(?:/|\z))[^\\\x00]+\z")
+    safe = ids.is_safe_path(F.col(path))
     own = listing.select(F.col("path").alias("l_path"), *([F.col("sha256").alias("l_hash")] if digest else []))
     j = referenced.join(own, F.col(path) == F.col("l_path"), "left")
     checks = {f"unsafe_{kind}_path": ~safe, f"missing_{kind}": safe & F.col("l_path").isNull()}

@@ -132,7 +132,7 @@ def test_registration(spark):
 
 def test_reconciliation_is_all_or_nothing_and_compaction_invisible(spark):
     w = work(spark, ("a", "article_text", None, "h", "succeeded", "g"), ("a", "header_image", "old", "h", "succeeded", "g"), ("a", "multimodal_article", None, "h", "succeeded", "g"), ("b", "article_text", None, "h", "succeeded", "g"), ("c", "header_image", "x", "h", "succeeded", "g"), ("d", "header_image", "x", "h", "succeeded", "g"))
-    v = w.select("article_id", "modality", "configuration_id", "source_relative_path", "input_sha256", F.lit("hosted_response").alias("derivation_kind"), F.lit("v").alias("stored_vector_sha256"))
+    v = w.select("article_id", "modality", "configuration_id", "source_relative_path", "input_sha256", F.lit("hosted_response").alias("derivation_kind"), F.lit(None).cast("string").alias("raw_response_sha256"), F.lit(None).cast("string").alias("response_model"), F.lit("v").alias("stored_vector_sha256"))
     seen = spark.createDataFrame([("a", "new"), ("c", None), ("d", "x")], "article_id string, header_image_path string")
     acts = reconcile.stage_actions(w, v, seen, "r9")
     assert {(r.article_id, r.modality): (r.target_state, r.target_source_relative_path) for r in acts.collect()} == {("a", "header_image"): ("stale_input", "new"), ("a", "multimodal_article"): ("stale_input", None), ("b", "article_text"): ("stale_input", None), ("c", "header_image"): ("not_applicable", None)}
