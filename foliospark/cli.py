@@ -51,7 +51,7 @@ def execute(args: argparse.Namespace, spark) -> tuple[dict, bool]:
         r = archive.pair_images(archive.listing(spark, c.source_root)).agg(F.count("*").alias("discovered"), F.count("header_image_path").alias("with_image")).first()
         return {"discovered": r.discovered, "with_image": r.with_image, "missing_image": r.discovered - r.with_image}, True
     if args.command == "run":
-        summary = preprocess.run(store, archive.listing(spark, c.source_root, content=True), preprocess.Options(args.limit, args.reprocess, c.extractor_version, c.namespace))
+        summary = preprocess.run(store, c.source_root, preprocess.Options(args.limit, args.reprocess, c.extractor_version, c.namespace, os.path.join(c.output_root, "markdown")))
         return summary, summary["status"] == "succeeded"
     if not store.version():
         return {"issues": [{"code": "missing_catalog", "message": "there is no catalogue"}]}, False
@@ -68,7 +68,7 @@ def smoke(spark) -> tuple[dict, bool]:
             with open(f"{folder}/in/{i}/p.html", "w") as f:
                 f.write(SMOKE_PAGE.format(i=i, d=i))
         store = Store(spark, f"{folder}/out")
-        first, second = (preprocess.run(store, archive.listing(spark, f"{folder}/in", content=True)) for _ in range(2))
+        first, second = (preprocess.run(store, f"{folder}/in") for _ in range(2))
         ok = first["new"] == first["articles"] == second["unchanged"] == 3 and first["validation_ok"] and second["validation_ok"]
         return {"first": first, "second": second}, ok
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,9 +11,25 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.identity import new_york_date
 
+if TYPE_CHECKING:
+    from foliospark.functions.markdown import Article
+
 FIELDS = "article_id string, source_html_sha256 string, canonical_url string, published_at_utc timestamp, updated_at_utc timestamp, markdown_text string, editorial_character_count long, editorial_block_count int, metadata_completeness int, inline_image_urls array<string>, warnings array<string>, error_code string"
 
 
+def record(a: Article) -> dict:
+    """The FIELDS of an extracted article."""
+    return {"error_code" if k == "error" else k: v for k, v in vars(a).items()}
+
+
+def frame(rows: list[dict], names: list[str]) -> pd.DataFrame:
+    """Rows as a frame in which times are instants."""
+    out = pd.DataFrame(rows, columns=names)
+    for c in ("published_at_utc", "updated_at_utc"):
+        out[c] = pd.to_datetime(out[c], utc=True)
+    return out
+
+
 def extract_articles(pages: DataFrame, namespace: str = "id", version: str = "7") -> DataFrame:
     """A candidate record per page of (source_html_path, html[, warnings]).
 
@@ -25,17 +42,10 @@ def extract_articles(pages: DataFrame, namespace: str = "id", version: str = "7"
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from foliospark.functions.markdown import extract
 
+        names = ["source_html_path", *(f.split()[0] for f in FIELDS.split(", "))]
         for pdf in batches:
-            rows = []
-            for path, html, warnings in zip(pdf["source_html_path"], pdf["html"], pdf["warnings"]):
-                a = extract(html, list(warnings) if warnings is not None else [], namespace)
-                rows.append(
-                    (path, a.article_id, a.source_html_sha256, a.canonical_url, a.published_at_utc, a.updated_at_utc, a.markdown_text, a.editorial_character_count, a.editorial_block_count, a.metadata_completeness, a.inline_image_urls, a.warnings, a.error)
-                )
-            out = pd.DataFrame(rows, columns=["source_html_path", *(f.split()[0] for f in FIELDS.split(", "))])
-            for c in ("published_at_utc", "updated_at_utc"):
-                out[c] = pd.to_datetime(out[c], utc=True)
-            yield out
+            rows = [{"source_html_path": path, **record(extract(html, list(warnings) if warnings is not None else [], namespace))} for path, html, warnings in zip(pdf["source_html_path"], pdf["html"], pdf["warnings"])]
+            yield frame(rows, names)
 
     found = given.mapInPandas(run, f"source_html_path string, {FIELDS}")
     return found.withColumns({"publication_date_new_york": new_york_date(F.col("published_at_utc")), "extractor_version": F.lit(version)})

@@ -1,25 +1,29 @@
-"""One preprocessing run: scan, classify, extract what changed, rank the identities it touches, commit.
+"""One preprocessing run: scan, classify by what the listing says, read and extract what changed, rank the identities it touches, commit.
 
-The whole run is one set of DataFrame transformations over a snapshot of the catalogue and ends in one
-commit; a run that fails leaves the catalogue as it was, but for its run record. Only identities whose
-candidates changed are ranked again.
+Pages are read where they are extracted and nowhere else: a run over an archive that has not changed
+reads no page. The run is recorded as running before it begins and ends once, as succeeded or failed; all
+tables change in one commit, so a run that fails leaves the catalogue as it was, but for its record. Only
+identities whose candidates changed are ranked again; a winner that was promoted is extracted again, and
+if that fails it is no candidate any more and the next one is tried.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark import schemas
 from foliospark.functions import identity as ids
+from foliospark.operators import extraction, ranking, validation
 from foliospark.operators import manifest as man
-from foliospark.operators import ranking, validation
-from foliospark.operators.extraction import extract_articles
 from foliospark.sources import archive
 from foliospark.sources.store import Store, replace_groups, upsert
 from foliospark.sources.tables import stage
@@ -27,51 +31,90 @@ from foliospark.sources.tables import stage
 
 @dataclass(frozen=True)
 class Options:
-    """Scope of a run: all sources, or the first `limit` by path; `reprocess` also takes stale ones."""
+    """Scope of a run: all sources, or the first `limit` by path; `reprocess` also takes stale ones. Texts go to `markdown_root`, if given."""
 
     limit: int | None = None
     reprocess: bool = False
     version: str = "7"
     namespace: str = "id"
+    markdown_root: str | None = None
 
     @property
     def scope(self) -> str:
         return ("full" if self.limit is None else f"limit:{self.limit}") + (",reprocess" if self.reprocess else "")
 
 
-def discover(files: DataFrame, limit: int | None) -> DataFrame:
-    """Paired pages of a listing with content, in the scope of the run, with html and its hash."""
-    pages = archive.pair_images(files)
-    scoped = archive.limited(pages, limit) if limit is not None else pages
-    html = files.filter("data is not null").select(F.col("path").alias("h_path"), F.col("data").alias("html_bytes"))
-    return scoped.join(html, F.col("source_html_path") == F.col("h_path"), "left").drop("h_path").withColumn("source_html_sha256", F.when(F.col("html_bytes").isNotNull(), F.sha2("html_bytes", 256)))
+def read_and_extract(pages: DataFrame, root: str, options: Options) -> DataFrame:
+    """Pages (source_html_path, known_sha256, warnings) read below `root` and extracted where their hash is not the known one.
 
+    Gives x_hash, unchanged (the hash is the known one), and the fields of extraction; a page that cannot be
+    read safely carries the code unreadable_source. Bytes are dropped as soon as a page is done.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from foliospark.functions.markdown import Article, extract
 
-def run(store: Store, files: DataFrame, options: Options = Options()) -> dict:
-    """Run over a listing of archive files (path, size, mtime_ns, data); returns the run's summary."""
-    spark, base = store.spark, store.version()
+        names = [f.split()[0] for f in extraction.FIELDS.split(", ")]
+        for pdf in batches:
+            rows = []
+            for path, known, warnings in zip(pdf["source_html_path"], pdf["known_sha256"], pdf["warnings"]):
+                status, data = archive.read_safely(root, path)
+                digest = hashlib.sha256(data).hexdigest() if status == "ok" else None
+                if digest is None:
+                    found = Article(error="unreadable_source")
+                else:
+                    found = Article() if digest == known else extract(data, list(warnings) if warnings is not None else [], options.namespace)
+                rows.append({"source_html_path": path, "x_hash": digest, "unchanged": digest is not None and digest == known, **extraction.record(found)})
+            yield extraction.frame(rows, ["source_html_path", "x_hash", "unchanged", *names])
+
+    given = pages.select("source_html_path", "known_sha256", "warnings").repartition("source_html_path")
+    found = given.mapInPandas(run, f"source_html_path string, x_hash string, unchanged boolean, {extraction.FIELDS}").drop("source_html_sha256")
+    return found.withColumns({"publication_date_new_york": ids.new_york_date(F.col("published_at_utc")), "extractor_version": F.lit(options.version)})
+
+
+def run(store: Store, root: str, options: Options = Options()) -> dict:
+    """Run over the archive below `root`; returns the run's summary."""
     run_id, started = f"run-{uuid.uuid4().hex[:12]}", datetime.now(UTC)
-    old = {t: store.read(t, base) for t in ("source_manifest", "candidates", "duplicates", "failures", "articles", "runs")}
-    seen = discover(files, options.limit)
-    kinds = stage(man.refine(man.classify(seen, old["source_manifest"], options.version)), "classified")
-    todo = man.to_extract(kinds, options.reprocess)
-    pages = todo.select("source_html_path", F.decode("html_bytes", "utf-8").alias("html"), "warnings")
-    extracted = stage(extract_articles(pages, options.namespace, options.version).withColumnRenamed("source_html_sha256", "x_hash"), "extracted")
-    good, bad = extracted.filter("error_code is null"), extracted.filter("error_code is not null")
+    base = store.version()
+    before = store.read("runs", base)
+    record = lambda status, summary=None: store.spark.createDataFrame([(run_id, "run", options.scope, status, started, datetime.now(UTC) if summary is not None else None, json.dumps(summary, sort_keys=True, separators=(",", ":")) if summary is not None else None)], schemas.schema("runs"))
+    base = store.commit({"runs": before.unionByName(record("running"))}, base, {"run_id": run_id})
+    try:
+        changed, texts, summary = _work_off(store, base, run_id, started, root, options, before)
+    except Exception as e:
+        store.commit({"runs": before.unionByName(record("failed", {"error": type(e).__name__, "validation_ok": False}))}, base, {"run_id": run_id})
+        raise
+    status = "succeeded" if summary["validation_ok"] else "failed"
+    store.commit(changed | {"runs": before.unionByName(record(status, summary))}, base, {"run_id": run_id})
+    if options.markdown_root:
+        export_markdown(changed["articles"].join(texts.select("source_html_path"), "source_html_path", "left_semi"), texts, options.markdown_root).count()
+    return summary | {"run_id": run_id, "status": status, "scope": options.scope}
+
+
+def _work_off(store: Store, base: int, run_id: str, started: datetime, root: str, options: Options, runs: DataFrame) -> tuple[dict[str, DataFrame], DataFrame, dict]:
+    spark = store.spark
+    old = {t: store.read(t, base) for t in ("source_manifest", "candidates", "duplicates", "failures", "articles")}
+    paired = archive.pair_images(archive.listing(spark, root))
+    seen = stage(archive.limited(paired, options.limit) if options.limit is not None else paired, "listed")
+    classified = man.classify(seen, old["source_manifest"], options.version)
+    # A changed stat with the known hash and image is no change; a failure is tried again in any case.
+    known = F.when((F.col("kind") == "stat_changed") & ~F.col("was_failed") & ~F.col("image_changed"), F.col("old_html_sha256"))
+    todo = man.to_extract(classified, options.reprocess).withColumn("known_sha256", known)
+    extracted = stage(read_and_extract(todo, root, options), "extracted")
+    read = extracted.select("source_html_path", "x_hash", "unchanged", F.col("article_id").alias("x_article"), F.col("error_code").alias("x_error"))
+    joined = classified.join(read, "source_html_path", "left")
+    kinds = stage(joined.withColumn("kind", F.when(F.coalesce("unchanged", F.lit(False)), "metadata_only").otherwise(F.col("kind"))), "classified")
+    good, bad = extracted.filter("error_code is null and not unchanged"), extracted.filter("error_code is not null")
     gone = man.missing(old["source_manifest"], seen, options.scope)
 
-    # The manifest: extracted and re-hashed sources anew, others only marked as seen, vanished ones as missing.
-    facts = kinds.select("source_html_path", *man.PRINT, "source_html_sha256", "kind", "old_article_id")
-    outcome = extracted.select("source_html_path", F.col("article_id").alias("x_article"), F.col("error_code").alias("x_error"))
-    joined = facts.join(outcome, "source_html_path", "left")
-    renewed = joined.filter(F.col("kind").isin("new", "stat_changed", "metadata_only") | (F.lit(options.reprocess) & (F.col("kind") == "stale_extractor"))).select(
-        "source_html_path", *man.PRINT, "source_html_sha256", F.lit(options.version).alias("extractor_version"), F.when(F.col("x_error").isNull(), "succeeded").otherwise("failed").alias("status"),
+    # The manifest: what was read anew, the rest only marked as seen, vanished sources as missing.
+    columns, key = schemas.schema("source_manifest").names, ["source_html_path"]
+    renewed = kinds.filter(F.col("x_hash").isNotNull() | F.col("x_error").isNotNull()).select(
+        "source_html_path", *man.PRINT, F.coalesce("x_hash", "old_html_sha256").alias("source_html_sha256"), F.lit(options.version).alias("extractor_version"), F.when(F.col("x_error").isNull(), "succeeded").otherwise("failed").alias("status"),
         F.coalesce("x_article", F.when(F.col("kind") == "metadata_only", F.col("old_article_id"))).alias("article_id"), F.lit(run_id).alias("last_run_id"), F.lit(run_id).alias("last_seen_run_id"),
     )
-    columns = schemas.schema("source_manifest").names
     touched = old["source_manifest"].join(kinds.select("source_html_path"), "source_html_path", "left_semi").withColumn("last_seen_run_id", F.lit(run_id)).select(*columns)
     lost = gone.withColumns({"status": F.lit("missing"), "last_run_id": F.lit(run_id)}).select(*columns)
-    key = ["source_html_path"]
     new_manifest = upsert(upsert(upsert(old["source_manifest"], touched, key), lost, key), renewed.select(*columns), key)
 
     # Candidates: failed and vanished sources leave, extracted ones come in.
@@ -79,31 +122,42 @@ def run(store: Store, files: DataFrame, options: Options = Options()) -> dict:
         *[(F.lit(run_id) if f.name == "last_run_id" else F.col("x_hash") if f.name == "source_html_sha256" else F.col(f.name)).cast(f.dataType).alias(f.name) for f in schemas.schema("candidates")]
     )
     out = bad.select("source_html_path").unionByName(gone.select("source_html_path"))
-    kept = old["candidates"].join(out, "source_html_path", "left_anti").select(*old["candidates"].columns)
-    candidates = stage(upsert(kept, fresh, key), "candidates")
+    candidates = stage(upsert(old["candidates"].join(out, "source_html_path", "left_anti").select(*old["candidates"].columns), fresh, key), "candidates")
     changed = fresh.select("source_html_path").unionByName(out)
     affected = stage(fresh.select("article_id").unionByName(old["candidates"].join(changed.distinct(), "source_html_path", "left_semi").select("article_id")).distinct(), "affected")
 
-    part = candidates.join(affected, "article_id", "left_semi")
-    duplicates = replace_groups(old["duplicates"], ranking.duplicates_of(part).withColumn("run_id", F.lit(run_id)), "article_id", affected)
-    texts = good.select(F.col("source_html_path").alias("t_path"), F.sha2("markdown_text", 256).alias("t_hash"))
-    before = old["articles"].select(F.col("source_html_path").alias("b_path"), F.col("markdown_sha256").alias("b_hash"))
-    won = ranking.winners(part).join(texts, F.col("source_html_path") == F.col("t_path"), "left").join(before, F.col("source_html_path") == F.col("b_path"), "left")
-    published = won.withColumns({"cleaned_markdown_path": ids.markdown_path(F.col("article_id"), F.col("publication_date_new_york")), "markdown_sha256": F.coalesce("t_hash", "b_hash"), "last_run_id": F.lit(run_id)})
+    # Winners; one whose text is not at hand is extracted again, and leaves if that fails.
+    texts = good.select("source_html_path", "markdown_text", F.sha2("markdown_text", 256).alias("markdown_sha256"))
+    before = old["articles"].select("source_html_path", F.col("markdown_sha256").alias("b_hash"))
+    broken = extracted.select("source_html_path", "error_code").filter("false")
+    while True:
+        part = candidates.join(affected, "article_id", "left_semi")
+        won = stage(ranking.winners(part), "winners")
+        promoted = won.join(texts, "source_html_path", "left_anti").join(before, "source_html_path", "left_anti")
+        again = stage(read_and_extract(promoted.select("source_html_path", F.lit(None).cast("string").alias("known_sha256"), "warnings"), root, options), "promoted")
+        texts = stage(texts.unionByName(again.filter("error_code is null").select("source_html_path", "markdown_text", F.sha2("markdown_text", 256).alias("markdown_sha256"))), "texts")
+        failed = again.filter("error_code is not null").select("source_html_path", "error_code")
+        if failed.isEmpty():
+            break
+        broken = broken.unionByName(failed)
+        candidates = stage(candidates.join(failed, "source_html_path", "left_anti").select(*candidates.columns), "candidates")
+    unfit = broken.select("source_html_path")
+    renamed = new_manifest.join(unfit, "source_html_path", "left_semi").withColumns({"status": F.lit("failed"), "last_run_id": F.lit(run_id)}).select(*columns)
+    new_manifest = stage(upsert(new_manifest, renamed, key), "manifest")
+    duplicates = stage(replace_groups(old["duplicates"], ranking.duplicates_of(part).withColumn("run_id", F.lit(run_id)), "article_id", affected), "duplicates")
+    published = won.join(texts.select("source_html_path", "markdown_sha256"), "source_html_path", "left").join(before, "source_html_path", "left")
+    published = published.withColumns({"cleaned_markdown_path": ids.markdown_path(F.col("article_id"), F.col("publication_date_new_york")), "markdown_sha256": F.coalesce("markdown_sha256", "b_hash"), "last_run_id": F.lit(run_id)})
     articles = stage(replace_groups(old["articles"], published.select(*schemas.schema("articles").names), "article_id", affected), "articles")
 
     messages = F.create_map(*[F.lit(x) for kv in schemas.FAILURE_MESSAGES.items() for x in kv])
-    failures = old["failures"].unionByName(bad.select(F.lit(run_id).alias("run_id"), "source_html_path", F.lit("extract").alias("stage"), "error_code", F.element_at(messages, F.col("error_code")).alias("message"), F.lit(options.version).alias("extractor_version"), F.lit(started).cast("timestamp").alias("failed_at")))
-    new_manifest, duplicates = stage(new_manifest, "manifest"), stage(duplicates, "duplicates")
-
+    every = bad.select("source_html_path", "error_code").unionByName(broken)
+    failures = old["failures"].unionByName(every.select(F.lit(run_id).alias("run_id"), "source_html_path", F.lit("extract").alias("stage"), "error_code", F.element_at(messages, F.col("error_code")).alias("message"), F.lit(options.version).alias("extractor_version"), F.lit(started).cast("timestamp").alias("failed_at")))
     summary = {k: int(v) for k, v in man.counters(kinds).first().asDict().items()}
-    summary |= {"failed": bad.count(), "removed": gone.count(), "articles": articles.count(), "duplicates": duplicates.count()}
-    found = validation.preprocessing_issues(new_manifest, candidates, duplicates, old["runs"], articles, options.version).collect()
+    summary |= {"failed": every.count(), "removed": gone.count(), "articles": articles.count(), "duplicates": duplicates.count(), "pages_read": extracted.count()}
+    found = validation.preprocessing_issues(new_manifest, candidates, duplicates, runs, articles, options.version).collect()
     summary |= {"validation_ok": not found, "issues": sorted(r.code for r in found)}
-    status = "failed" if found else "succeeded"
-    record = spark.createDataFrame([(run_id, "run", options.scope, status, started, datetime.now(UTC), json.dumps(summary, sort_keys=True, separators=(",", ":")))], schemas.schema("runs"))
-    store.commit({"source_manifest": new_manifest, "candidates": candidates, "duplicates": duplicates, "failures": failures, "articles": articles, "runs": old["runs"].unionByName(record)}, base, {"run_id": run_id})
-    return summary | {"run_id": run_id, "status": status, "scope": options.scope}
+    tables = {"source_manifest": new_manifest, "candidates": candidates, "duplicates": duplicates, "failures": failures, "articles": articles}
+    return tables, texts.select("source_html_path", "markdown_text"), summary
 
 
 def export_markdown(articles: DataFrame, texts: DataFrame, root: str) -> DataFrame:
@@ -113,8 +167,6 @@ def export_markdown(articles: DataFrame, texts: DataFrame, root: str) -> DataFra
     markdown_text. A file is written aside, read again, verified and then put in its place; one that is
     there with the right hash is left alone, so a repeated task changes nothing.
     """
-    import pandas as pd
-
     j = articles.select("source_html_path", F.col("cleaned_markdown_path").alias("path"), F.col("markdown_sha256").alias("sha256")).join(texts.select("source_html_path", "markdown_text"), "source_html_path")
 
     def write(batches):

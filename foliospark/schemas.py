@@ -19,6 +19,7 @@ FAILURE_MESSAGES = {
     "invalid_timestamp": "timestamp is not valid ISO-8601",
     "missing_publication_timestamp": "article has no publication timestamp",
     "naive_timestamp": "timestamp has no timezone",
+    "unreadable_source": "source cannot be read safely",
 }
 
 

@@ -1,6 +1,6 @@
 """Scanning an archive of pages and companion images.
 
-`archive` is a Python data source: one partition per directory at the top, each walked by a task. It
+`archive` is a Python data source: one partition per folder of the upper levels, each walked by a task. It
 yields regular files only (no symbolic links), leaves out dot-directories and __MACOSX anywhere and
 `backup` at the top, and gives sizes, nanosecond times and, on request, bytes with a status instead of
 an exception where a file cannot be read safely.
@@ -19,6 +19,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 # Image extensions in order of preference, and directories that are not walked.
 IMAGES = (".jpg", ".jpeg", ".png", ".webp")
 SKIPPED, SKIPPED_AT_TOP = ("__MACOSX",), ("backup",)
+#: Folders from which on a scan is not spread any further.
+FOLDERS = 256
 
 
 def _skip(name: str, top: bool) -> bool:
@@ -68,9 +70,15 @@ class _Reader(DataSourceReader):
         self.root, self.content, self.suffixes = root, content, suffixes
 
     def partitions(self) -> list[InputPartition]:
-        with os.scandir(self.root) as entries:
-            below = sorted(e.name for e in entries if not e.is_symlink() and e.is_dir(follow_symlinks=False) and not _skip(e.name, True))
-        return [_Part("", False), *(_Part(n, True) for n in below)]
+        """Folders are opened level by level until there are enough for the tasks; those opened are listed by themselves, the others walked."""
+        opened, open_ = [], [""]
+        while open_ and len(open_) < FOLDERS:
+            below = []
+            for folder in open_:
+                with os.scandir(os.path.join(self.root, folder)) as entries:
+                    below += [f"{folder}/{e.name}" if folder else e.name for e in entries if not e.is_symlink() and e.is_dir(follow_symlinks=False) and not _skip(e.name, not folder)]
+            opened, open_ = opened + open_, below
+        return [*(_Part(n, False) for n in sorted(opened)), *(_Part(n, True) for n in sorted(open_))]
 
     def read(self, partition: _Part) -> Iterator[tuple]:
         todo = [partition.path]

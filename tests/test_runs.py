@@ -1,7 +1,9 @@
 """Whole runs: preprocessing over an archive, embedding with the synthetic provider, the command line, streaming."""
 
 import argparse
+import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,6 @@ from pyspark.sql import functions as F
 from foliospark import cli, config
 from foliospark.functions import vectors as vec
 from foliospark.operators import batching, embed, preprocess
-from foliospark.sources import archive
 from foliospark.sources.store import Store
 
 PAGE = '<html><head><meta name="article.id" content="{i}"><meta name="article.published" content="{d}"></head><body><article><h1>T</h1>{p}</article></body></html>'
@@ -27,14 +28,15 @@ def test_preprocessing_runs(spark, tmp_path):
     put(root, "a/2.html", p="<p>x</p><p>longer</p>")
     put(root, "b/3.html", "B")
     put(root, "b/4.html", "C", d="nonsense")
-    go = lambda **o: preprocess.run(store, archive.listing(spark, str(root), content=True), preprocess.Options(**o))
+    go = lambda **o: preprocess.run(store, str(root), preprocess.Options(**o))
     first = go()
     assert (first["new"], first["articles"], first["duplicates"], first["failed"], first["status"]) == (4, 2, 1, 1, "succeeded"), first
     assert {r.source_html_path: r.reason for r in store.read("duplicates").collect()} == {"a/1.html": "lower_editorial_character_count"}
     assert {r.status for r in store.read("source_manifest").filter("source_html_path = 'b/4.html'").collect()} == {"failed"}
     assert store.read("failures").first().error_code == "invalid_timestamp"
     again = go()
-    assert (again["unchanged"], again["articles"]) == (4, 2) and again["validation_ok"]
+    assert (again["unchanged"], again["articles"], again["pages_read"]) == (4, 2, 0) and again["validation_ok"]
+    assert [r.status for r in store.read("runs").collect()] == ["succeeded", "succeeded"]
     # The winner changes its identity, a page vanishes: the duplicate is promoted.
     put(root, "a/2.html", "D", p="<p>x</p><p>much longer</p>")
     (root / "b/3.html").unlink()
@@ -43,12 +45,39 @@ def test_preprocessing_runs(spark, tmp_path):
     assert {(r.article_id, r.source_html_path) for r in store.read("articles").collect()} == {("id:A", "a/1.html"), ("id:D", "a/2.html")}
     limited = go(limit=1)
     assert limited["removed"] == 0 and limited["discovered"] == 1 and store.read("runs").count() == 4
+    # A touched page is read but not extracted; of two promoted in turn, the one that cannot be read any more fails.
+    os.utime(root / "a/1.html")
+    assert (fourth := go())["metadata_only"] == 1 and fourth["pages_read"] == 1
+    put(root, "c/1.html", "E", p="<p>first of all</p>")
+    put(root, "c/2.html", "E", p="<p>second</p>")
+    put(root, "c/3.html", "E", p="<p>3</p>")
+    go(markdown_root=str(tmp_path / "texts"))
+    (root / "c/1.html").unlink()
+    (root / "c/2.html").write_text(PAGE.format(i="E", p="<p>second</p>", d="2024-01-02T12:00:00Z").replace("second", "secund"))
+    stat = (root / "c/2.html").stat()
+    m = store.read("source_manifest").filter("source_html_path = 'c/2.html'").first()
+    os.utime(root / "c/2.html", ns=(stat.st_atime_ns, m.html_mtime_ns))
+    os.link(root / "c/2.html", root / "c/2.copy")  # a second link makes it unsafe to read
+    last = go(markdown_root=str(tmp_path / "texts"))
+    assert last["validation_ok"] and last["removed"] == 1 and {r.source_html_path for r in store.read("articles").filter("article_id = 'id:E'").collect()} == {"c/3.html"}
+    assert store.read("failures").filter("error_code = 'unreadable_source'").count() == 1
+    e = store.read("articles").filter("article_id = 'id:E'").first()
+    assert hashlib.sha256((tmp_path / "texts" / e.cleaned_markdown_path).read_bytes()).hexdigest() == e.markdown_sha256
     texts = spark.createDataFrame([("a/1.html", "T1")], "source_html_path string, markdown_text string")
     arts = store.read("articles").filter("source_html_path = 'a/1.html'").withColumn("markdown_sha256", F.sha2(F.lit("T1"), 256))
     out = preprocess.export_markdown(arts, texts, str(tmp_path / "md")).collect()
     assert out[0].written and (tmp_path / "md" / out[0].path).read_text() == "T1" and not preprocess.export_markdown(arts, texts, str(tmp_path / "md")).collect()[0].written
 
 
+def test_a_run_that_breaks_leaves_its_record_only(spark, tmp_path, monkeypatch):
+    root, store = tmp_path / "in", Store(spark, str(tmp_path / "out"))
+    put(root, "a/1.html")
+    monkeypatch.setattr(preprocess.ranking, "winners", lambda df: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        preprocess.run(store, str(root))
+    assert [r.status for r in store.read("runs").collect()] == ["failed"] and store.read("candidates").count() == 0
+
+
 def test_embedding_long_texts_failures_and_composites(spark):
     long_ = "para one.\n\n" * 5
     texts = spark.createDataFrame([("short", "hello"), ("long", long_), ("dead", "fatal"), ("flaky", "again"), ("half", "fine text\n\nfatal text"), (None, "x"), ("empty", "")], "article_id string, text string")
