@@ -12,6 +12,7 @@ import os
 import stat
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -119,6 +120,17 @@ def listing(spark: SparkSession, root: str, content: bool = False, suffixes: tup
     return spark.read.format("archive").option("content", str(content)).option("suffixes", ",".join(suffixes)).load(root)
 
 
+def read_files(paths: DataFrame, root: str, path: str = "path") -> DataFrame:
+    """(path, status, data) of files below `root`, read by the tasks; a null path is left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([(p, *read_safely(root, p)) for p in pdf["path"]], columns=["path", "status", "data"])
+
+    given = paths.select(F.col(path).alias("path")).filter("path is not null").distinct()
+    return given.mapInPandas(run, "path string, status string, data binary")
+
+
 def _stem(path: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?<=.)\.[^.]*$", "")
 

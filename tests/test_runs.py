@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark import cli, config
+from foliospark import cli, config, embed_cli
 from foliospark.functions import vectors as vec
 from foliospark.operators import batching, embed, preprocess
 from foliospark.sources.store import Store
@@ -120,6 +120,34 @@ def test_command_line(spark, tmp_path):
             config.load(str(tmp_path / "bad.toml"))
 
 
+def test_embedding_command_line(spark, tmp_path):
+    put(tmp_path / "in", "1.html", p="<p>Some text of an article.</p>")
+    put(tmp_path / "in", "2.html", "B")
+    (tmp_path / "c.toml").write_text('source_root = "in"\noutput_root = "out"\n')
+    cli.execute(cli.parser().parse_args(["run", "--full", "--config", str(tmp_path / "c.toml")]), spark)
+    roots = ["--source-root", str(tmp_path / "in"), "--preprocessing-output-root", str(tmp_path / "out"), "--embedding-output-root", str(tmp_path / "emb")]
+    go = lambda *a: embed_cli.execute(embed_cli.parser().parse_args([*a[:1], *roots, *a[1:]]), spark)
+    assert go("inventory") == ({"canonical_articles": 2, "header_present": 0, "header_absent": 2}, True)
+    assert [i["code"] for i in go("validate")[0]["issues"]] == ["missing_embedding_configuration"]
+    done, ok = go("run", "--full")
+    assert ok and (done["articles"], done["embeddings"]) == (2, 2)
+    found, ok = go("validate")
+    assert ok and found["issues"] == [] and found["coverage"]["text_success"] == 2 and found["configuration_id"] == done["configuration_id"]
+    assert not go("validate", "--configuration-id", "x")[1]
+    for args, code in ((["run", "--full", "--provider", "none:x"], "provider_unavailable"), (["run", "--full", "--provider", "tests.test_runs:hosted"], "hosted_processing_not_authorized"), (["run", "--full", "--provider", "tests.test_runs:hosted", "--authorize-hosted-processing"], "pilot_observation_required")):
+        with pytest.raises(embed_cli.Refused, match=code):
+            go(*args)
+    with pytest.raises(embed_cli.Refused, match="overlapping_roots"):
+        embed_cli.separate(str(tmp_path / "in"), str(tmp_path / "in" / "x"), str(tmp_path / "emb"))
+    assert embed_cli.execute(embed_cli.parser().parse_args(["pilot"]), spark)[1] and embed_cli.execute(embed_cli.parser().parse_args(["smoke"]), spark)[1]
+    with pytest.raises(SystemExit):
+        embed_cli.parser().parse_args(["run"])
+
+
+def hosted():
+    return embed.SyntheticProvider(8, synthetic=False, streams=1, model="m")
+
+
 def test_streaming_equals_batch(spark, tmp_path):
     from foliospark.operators.incremental import plain_path
     from foliospark.streaming import observations as obs
