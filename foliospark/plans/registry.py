@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.plans import catalog_queries, core_problems, embedding_queries, extraction_queries
+from foliospark.plans import catalog_queries, core_problems, embedding_queries, extraction_queries, validator_queries
 
-MODULES = (core_problems, catalog_queries, extraction_queries, embedding_queries)
+MODULES = (core_problems, catalog_queries, extraction_queries, embedding_queries, validator_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
