@@ -84,11 +84,11 @@ def scaled(width: int, height: int, most: int = MAX_PIXELS) -> tuple[int, int]:
 
 
 def scaled_columns(width: Column, height: Column, most: int = MAX_PIXELS) -> tuple[Column, Column]:
-    """`scaled` in Catalyst: flooring both sides keeps the product within the ceiling, so no trimming is left."""
+    """`scaled` in Catalyst: flooring both sides keeps the product within the ceiling, unless a side was raised to 1; then the other one is all there is to trim."""
     w, h = width.cast("double"), height.cast("double")
     k = F.when(w * h > most, F.sqrt(F.lit(float(most)) / (w * h))).otherwise(1.0)
-    side = lambda s: F.greatest(F.lit(1), F.floor(s * k)).cast("int")
-    return side(w), side(h)
+    side = lambda s, other: F.when(F.floor(other * k) < 1, F.least(F.floor(s * k), F.lit(most))).otherwise(F.greatest(F.lit(1), F.floor(s * k))).cast("int")
+    return side(w, h), side(h, w)
 
 
 def token_estimate(width: Column, height: Column) -> Column:

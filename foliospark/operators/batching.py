@@ -83,10 +83,17 @@ def retry_delay(attempt: Column, policy: Policy, retry_after: Column | None = No
 
 
 def rolling_usage(requests: DataFrame, time: str, tokens: str, by: list[str], seconds: int = 60) -> DataFrame:
-    """Requests with those of the trailing half-open window (now - seconds, now]: their number and tokens."""
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    w = Window.partitionBy(*by).orderBy("_us").rangeBetween(-(seconds * 1_000_000 - 1), 0)
-    return requests.withColumn("_us", micros).withColumn("window_requests", F.count("*").over(w)).withColumn("window_tokens", F.sum(tokens).over(w)).drop("_us")
+    """Requests with those of the trailing half-open window (now - seconds, now]: their number and tokens.
+
+    Time is cut into stretches of a window's length; a row also stands in the stretch after its own, where
+    it can still count but gives no result. So no group, not even that of all rows (`by` empty), is one task's.
+    """
+    width = seconds * 1_000_000
+    w = Window.partitionBy(*by, "_stretch").orderBy("_us").rangeBetween(-(width - 1), 0)
+    own = requests.withColumn("_us", F.unix_micros(F.col(time).cast("timestamp")))
+    spread = own.withColumn("_late", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("_stretch", F.floor(F.col("_us") / width) + F.col("_late"))
+    counted = spread.withColumn("window_requests", F.count("*").over(w)).withColumn("window_tokens", F.sum(tokens).over(w))
+    return counted.filter("_late = 0").drop("_us", "_late", "_stretch")
 
 
 def wait_seconds(reservations: list[tuple[datetime, int]], costs: list[int], now: datetime, policy: Policy) -> float:

@@ -36,8 +36,10 @@ def order_struct() -> Column:
 
 
 def clean_candidates(candidates: DataFrame) -> DataFrame:
-    """One row per source path; rows without path or identity are no candidates."""
-    return candidates.filter("article_id is not null and source_html_path is not null").dropDuplicates(["source_html_path"])
+    """One row per source path, the least by all columns where they differ; rows without path or identity are no candidates."""
+    rest = [c for c in candidates.columns if c != "source_html_path"]
+    least = candidates.filter("article_id is not null and source_html_path is not null").groupBy("source_html_path").agg(F.min(F.struct(*rest)).alias("least"))
+    return least.select("source_html_path", "least.*").select(*candidates.columns)
 
 
 def ranked(candidates: DataFrame, key: str = "article_id", name: str = "candidate_rank") -> DataFrame:

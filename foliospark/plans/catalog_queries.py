@@ -167,15 +167,34 @@ def canonical_identities(spark: SparkSession, sf: str) -> DataFrame:
     As in extraction, any URL that is not blank once normalised counts, so pages that give the same
     placeholder ("N/A") share an identity; null, blank, "#" and "/" fall back to the content hash.
     """
-    c = table(spark, sf, "candidates").filter("source_html_path is not null").dropDuplicates(["source_html_path"])
+    given = F.struct("source_html_sha256", F.trim("canonical_url").alias("canonical_url"))
+    c = table(spark, sf, "candidates").filter("source_html_path is not null").groupBy("source_html_path").agg(F.min(given).alias("c")).select("source_html_path", "c.*")
     return c.select("source_html_path", ids.identity(F.lit(None).cast("string"), ids.normalized_url("canonical_url"), F.col("source_html_sha256"), "id").alias("identity"))
 
 
+def published_article_issues(spark: SparkSession, sf: str) -> DataFrame:
+    """Published articles, some of which were changed by the first digit of their id's hash: listed twice (0), another path (1), another header (2), addresses that are none (3), another day (4)."""
+    a = articles(spark, sf).withColumn("digit", F.substring(F.sha2("article_id", 256), 1, 1))
+    when = lambda d, c, v: F.when(F.col("digit") == d, v).otherwise(F.col(c))
+    odd = a.withColumns(
+        {
+            "cleaned_markdown_path": when("1", "cleaned_markdown_path", F.lit("text/x.md")),
+            "header_image_path": when("2", "header_image_path", F.lit("other.jpg")),
+            "inline_image_urls": when("3", "inline_image_urls", F.array(F.lit("http://h:99999/x"), F.lit("http://h/x"), F.lit("http://h/x"))),
+            "publication_date_new_york": when("4", "publication_date_new_york", F.lit("1900-01-01").cast("date")),
+        }
+    )
+    odd = stage(odd.unionAll(odd.filter("digit = '0'")), "odd-articles")
+    c = stage(candidates(spark, sf), "candidates")
+    found = validation.preprocessing_issues(table(spark, sf, "source_manifest"), c, table(spark, sf, "duplicates"), table(spark, sf, "runs"), odd)
+    return found.filter(F.col("code").isin("duplicate_article_id", "duplicate_source_html_path", "duplicate_markdown_path", "inconsistent_article_candidate", "markdown_path_mismatch", "unstable_inline_image_urls", "invalid_inline_image_url", "publication_date_mismatch"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         rank_winners, candidate_ranks, duplicate_audit, duplicate_differences, markdown_paths, new_york_dates, date_range_research, source_kinds, run_counters, missing_sources, affected_identities, unknown_sources,
-        candidate_manifest_mismatches, keyset_page, limited_scan, header_pairing, latest_run, run_summaries, inventory_counts, repeated_candidates, catalog_issues, run_issues, manifest_upsert, escaped_texts, text_hashes, canonical_identities,
+        candidate_manifest_mismatches, keyset_page, limited_scan, header_pairing, latest_run, run_summaries, inventory_counts, repeated_candidates, catalog_issues, run_issues, manifest_upsert, escaped_texts, text_hashes, canonical_identities, published_article_issues,
     )
 }
 
@@ -274,6 +293,18 @@ UNION ALL SELECT 'invalid_inline_image_url', count(*) FROM art WHERE len(list_fi
     "manifest_upsert": _KINDS
     + """SELECT source_html_path, status, last_run_id FROM source_manifest WHERE source_html_path NOT IN (SELECT source_html_path FROM kinds WHERE kind IN ('new', 'stat_changed'))
 UNION ALL SELECT source_html_path, 'succeeded', 'run-next' FROM kinds WHERE kind IN ('new', 'stat_changed')""",
+    "published_article_issues": _CAND
+    + """, odd AS (SELECT *, substr(sha256(article_id), 1, 1) AS g, CAST(published_at_utc AT TIME ZONE 'America/New_York' AS date) IS DISTINCT FROM publication_date_new_york AS wrong_day FROM art),
+n AS (SELECT count(*) FILTER (WHERE g = '0') AS twice, count(*) FILTER (WHERE g = '1') AS path, count(*) FILTER (WHERE g = '2' AND header_image_path IS DISTINCT FROM 'other.jpg') AS head, count(*) FILTER (WHERE g = '3') AS urls, count(*) FILTER (WHERE g = '4') AS day,
+  count(*) FILTER (WHERE g <> '3' AND len(list_distinct(inline_image_urls)) <> len(inline_image_urls)) + count(*) FILTER (WHERE g = '0' AND len(list_distinct(inline_image_urls)) <> len(inline_image_urls)) AS unstable FROM odd)
+SELECT code, k AS n FROM (SELECT unnest(['duplicate_article_id', 'duplicate_source_html_path', 'duplicate_markdown_path', 'inconsistent_article_candidate', 'markdown_path_mismatch', 'unstable_inline_image_urls', 'invalid_inline_image_url', 'publication_date_mismatch']) AS code,
+  unnest([twice, twice, twice + (path > 1)::bigint, head + urls + day, path + day, unstable + urls, urls, day]) AS k FROM n) WHERE k > 0""",
+    "canonical_identities": r"""WITH c AS (SELECT source_html_path, min(struct_pack(h := source_html_sha256, u := trim(canonical_url))) AS c FROM candidates WHERE source_html_path IS NOT NULL GROUP BY 1),
+t AS (SELECT source_html_path, c.h AS h, c.u AS u, regexp_extract(c.u, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) AS scheme, regexp_extract(c.u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS site, regexp_extract(regexp_replace(c.u, '^([A-Za-z][A-Za-z0-9+.-]*:(//[^/?#]*)?)', ''), '^[^?#]*') AS path,
+  regexp_extract(c.u, '\?([^#]*)', 1) AS query FROM c),
+n AS (SELECT source_html_path, h, CASE WHEN u IS NULL THEN NULL ELSE (CASE WHEN scheme <> '' THEN lower(scheme) || ':' ELSE '' END) || (CASE WHEN site <> '' THEN '//' || regexp_replace(lower(site), CASE lower(scheme) WHEN 'https' THEN ':443$' ELSE ':80$' END, '') ELSE '' END) || rtrim(path, '/')
+  || CASE WHEN query <> '' THEN '?' || array_to_string(list_sort(string_split(query, '&')), '&') ELSE '' END END AS u FROM t)
+SELECT source_html_path, CASE WHEN trim(coalesce(u, '')) <> '' THEN 'url:' || sha256(u) ELSE 'html:' || h END AS identity FROM n""",
     "escaped_texts": r"""SELECT doc_id, sha256(e) AS escaped_sha256, length(e)::int AS escaped_length FROM (SELECT doc_id, regexp_replace(text, '([\\`*_\[\]{}|])', '\\\1', 'g') AS e FROM documents)""",
     "text_hashes": "SELECT doc_id, length(text)::int AS chars, octet_length(encode(text))::int AS bytes, sha256(text) AS text_sha256 FROM documents",
 }

@@ -87,7 +87,8 @@ def vector_hash_mismatches(spark: SparkSession, sf: str) -> DataFrame:
 
 def storage_digest(spark: SparkSession, sf: str) -> DataFrame:
     """The order-independent digest of all stored vectors' identities, in parts that combine."""
-    return digests.multiset_parts(stored(spark, sf), *KEY, "input_sha256", "stored_vector_sha256")
+    d = digests.multiset_parts(stored(spark, sf), *KEY, "input_sha256", "stored_vector_sha256")
+    return d.select(*[F.col(c).cast("long").alias(c) for c in d.columns])
 
 
 def research_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,10 +229,16 @@ def rolling_quota(spark: SparkSession, sf: str) -> DataFrame:
     return batching.rolling_usage(e, "ts", "tokens", ["user_id"], 3600).select("event_id", "window_requests", "window_tokens")
 
 
+def rolling_quota_of_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Per event: how many of all events lie in the trailing minute, half-open, and what they cost."""
+    e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 97).alias("tokens"))
+    return batching.rolling_usage(e, "ts", "tokens", []).select("event_id", "window_requests", "window_tokens")
+
+
 def greedy_packing(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents packed in order of id under three ceilings, per group of a hundred ids."""
-    d = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 100).alias("grp"), "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("tokens"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
-    return batching.pack(d, "grp", "doc_id", batching.Policy(max_items=5, max_tokens=9000, max_bytes=9500)).select("grp", "doc_id", "batch_no")
+    """Each source's documents packed in order of id under the policy's three ceilings."""
+    d = table(spark, sf, "documents").select(F.coalesce("source", F.lit("")).alias("grp"), "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("tokens"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
+    return batching.pack(d, "grp", "doc_id").select("grp", "doc_id", "batch_no")
 
 
 def retry_delays(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,7 +255,7 @@ def http_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 def image_admissions(spark: SparkSession, sf: str) -> DataFrame:
     """Admission, scaled size and token estimate of images whose sizes derive from the parts table."""
-    p = table(spark, sf, "part").select("p_partkey", (F.col("p_size") * 211 + 1).cast("int").alias("width"), (F.col("p_partkey") % 9000 + 1).cast("int").alias("height"), (F.col("p_retailprice") * 4000).cast("long").alias("bytes"))
+    p = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") % 10 == 0, 1).otherwise(F.col("p_size") * 211 + 1).cast("int").alias("width"), F.when(F.col("p_partkey") % 10 == 0, 30_000_000 + F.col("p_partkey")).otherwise(F.col("p_partkey") % 9000 + 1).cast("int").alias("height"), (F.col("p_retailprice") * 4000).cast("long").alias("bytes"))
     w, h = images.scaled_columns(F.col("width"), F.col("height"))
     return p.select("p_partkey", images.admission(F.col("bytes"), F.col("width"), F.col("height")).alias("admission"), w.alias("scaled_width"), h.alias("scaled_height"), images.token_estimate(w, h).alias("tokens"))
 
@@ -264,7 +271,7 @@ QUERIES = {
     for f in (
         vector_statuses, vector_norms, normalized_vectors, midpoint_vectors, weighted_mean_vectors, composite_identities, configuration_identities, vector_hash_mismatches, storage_digest, research_vectors, coverage_states, part_states, coverage,
         vector_issues, part_issues, part_gaps, part_plans, part_plan_checks, publication_mismatches, stored_or_planned, generations_by_run, registered_work, reconciliation_actions, visible_vectors, visible_work, compaction_differences,
-        rolling_quota, greedy_packing, retry_delays, http_outcomes, image_admissions, event_properties,
+        rolling_quota, rolling_quota_of_all, greedy_packing, retry_delays, http_outcomes, image_admissions, event_properties,
     )
 }
 
@@ -343,6 +350,20 @@ UNION ALL SELECT 'invalid_work_state', count(*) FROM j WHERE state NOT IN ('elig
 UNION ALL SELECT 'invalid_failure_checkpoint', count(*) FROM j WHERE (state IN ('retryable', 'terminal') AND error_code IS NULL) OR (state NOT IN ('retryable', 'terminal') AND error_code IS NOT NULL) OR attempt_count > att
 UNION ALL SELECT 'invalid_generation_run_reference', count(*) FROM j WHERE last_run_id IS NULL OR last_run_id NOT IN (SELECT run_id FROM runs)
 UNION ALL SELECT 'invalid_long_text_source_coverage', count(*) FROM gaps WHERE gaps > 0 OR parts <> part_count) WHERE n > 0""",
+    "part_plans": r"""WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS item, doc_id, text, length(text) AS n FROM documents WHERE length(text) > 2000),
+hits AS (SELECT item, list_transform(string_split_regex(text, '(?:\r?\n[ \t]*){2,}'), lambda x: length(x)) AS gaps, list_transform(regexp_extract_all(text, '(?:\r?\n[ \t]*){2,}'), lambda x: length(x)) AS seps FROM d),
+cells AS (SELECT item, i, gaps[i] + seps[i] AS step FROM hits, LATERAL (SELECT unnest(range(1, len(seps) + 1)) AS i) r),
+ends AS (SELECT item, sum(step) OVER (PARTITION BY item ORDER BY i) AS p FROM cells UNION SELECT item, n FROM d UNION SELECT item, 0 FROM d),
+k AS (SELECT item, n, list(p::bigint) AS edges FROM ends JOIN d USING (item) GROUP BY ALL),
+walk AS (SELECT item, -1 AS part_index, 0::bigint AS s, 0::bigint AS e, n, edges FROM k
+UNION ALL SELECT item, part_index + 1, e, CASE WHEN list_contains(edges, e) THEN coalesce(list_max(list_filter(edges, lambda p: p > e AND p <= e + 2000)), e + 2000)
+    ELSE coalesce(list_min(list_filter(edges, lambda p: p > e AND p <= e + 2000)), e + 2000) END, n, edges FROM walk WHERE e < n)
+SELECT doc_id, part_index::int AS part_index, s AS char_start, e AS char_end, octet_length(encode(left(text, s::int)))::bigint AS byte_start, octet_length(encode(left(text, e::int)))::bigint AS byte_end, sha256(substring(text, s::int + 1, (e - s)::int)) AS part_input_sha256, (e - s)::int AS token_count
+FROM walk JOIN d USING (item) WHERE part_index >= 0""",
+    "storage_digest": r"""WITH h AS (SELECT sha256('{"article_id":' || coalesce('"' || article_id || '"', 'null') || ',"modality":' || coalesce('"' || modality || '"', 'null') || ',"configuration_id":' || coalesce('"' || configuration_id || '"', 'null') || ',"input_sha256":' || coalesce('"' || input_sha256 || '"', 'null') || ',"stored_vector_sha256":' || coalesce('"' || stored_vector_sha256 || '"', 'null') || '}') AS h FROM embedding_storage),
+w AS (SELECT list_transform(range(0, 8), lambda i: ('0x' || substr(h, (8 * i + 1)::int, 8))::bigint) AS w FROM h)
+SELECT count(*) AS n, bit_xor(w[1]) AS x0, bit_xor(w[2]) AS x1, bit_xor(w[3]) AS x2, bit_xor(w[4]) AS x3, bit_xor(w[5]) AS x4, bit_xor(w[6]) AS x5, bit_xor(w[7]) AS x6, bit_xor(w[8]) AS x7,
+  sum(w[1])::bigint AS s0, sum(w[2])::bigint AS s1, sum(w[3])::bigint AS s2, sum(w[4])::bigint AS s3, sum(w[5])::bigint AS s4, sum(w[6])::bigint AS s5, sum(w[7])::bigint AS s6, sum(w[8])::bigint AS s7 FROM w""",
     "part_plan_checks": "SELECT doc_id, length(text) AS chars, octet_length(encode(text)) AS bytes, true AS within FROM documents WHERE length(text) > 2000",
     "publication_mismatches": _CAND + "SELECT s.article_id, s.modality, s.configuration_id FROM embedding_storage s JOIN art a USING (article_id) WHERE s.published_at_utc IS DISTINCT FROM a.published_at_utc",
     "stored_or_planned": _CAND
@@ -366,18 +387,19 @@ SELECT article_id, modality, configuration_id, prior_state, CASE action WHEN 'di
 UNION ALL SELECT article_id, modality, configuration_id, target_source_relative_path, NULL, target_state, 0 FROM act""",
     "compaction_differences": "SELECT article_id, modality, configuration_id, source_relative_path, derivation_kind AS state FROM embedding_storage WHERE false",
     "rolling_quota": "SELECT event_id, count(*) OVER w AS window_requests, (sum(event_id % 97) OVER w)::bigint AS window_tokens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW)",
-    "greedy_packing": """WITH RECURSIVE d AS (SELECT doc_id // 100 AS grp, doc_id, coalesce(length(text), 0) AS t, coalesce(octet_length(encode(text)), 0) AS b FROM documents),
+    "rolling_quota_of_all": "SELECT event_id, count(*) OVER w AS window_requests, (sum(event_id % 97) OVER w)::bigint AS window_tokens FROM events WINDOW w AS (ORDER BY epoch_us(ts) RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW)",
+    "greedy_packing": """WITH RECURSIVE d AS (SELECT coalesce(source, '') AS grp, doc_id, coalesce(length(text), 0) AS t, coalesce(octet_length(encode(text)), 0) AS b FROM documents),
 o AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id) AS rn FROM d),
-f AS (SELECT grp, doc_id, rn, CASE WHEN t > 9000 OR b > 9500 THEN 0 ELSE 1 END AS n, CASE WHEN t > 9000 OR b > 9500 THEN 0 ELSE t END AS st, CASE WHEN t > 9000 OR b > 9500 THEN 0 ELSE b END AS sb, CASE WHEN t > 9000 OR b > 9500 THEN 0 ELSE 1 END AS batch, t > 9000 OR b > 9500 AS bad FROM o WHERE rn = 1
+f AS (SELECT grp, doc_id, rn, CASE WHEN t > 45000 OR b > 8000000 THEN 0 ELSE 1 END AS n, CASE WHEN t > 45000 OR b > 8000000 THEN 0 ELSE t END AS st, CASE WHEN t > 45000 OR b > 8000000 THEN 0 ELSE b END AS sb, CASE WHEN t > 45000 OR b > 8000000 THEN 0 ELSE 1 END AS batch, t > 45000 OR b > 8000000 AS bad FROM o WHERE rn = 1
 UNION ALL SELECT o.grp, o.doc_id, o.rn, CASE WHEN x.bad THEN f.n WHEN x.new THEN 1 ELSE f.n + 1 END, CASE WHEN x.bad THEN f.st WHEN x.new THEN o.t ELSE f.st + o.t END, CASE WHEN x.bad THEN f.sb WHEN x.new THEN o.b ELSE f.sb + o.b END,
   CASE WHEN x.bad THEN f.batch WHEN x.new THEN f.batch + 1 ELSE f.batch END, x.bad FROM f JOIN o ON o.grp = f.grp AND o.rn = f.rn + 1,
-  LATERAL (SELECT o.t > 9000 OR o.b > 9500 AS bad, f.batch = 0 OR f.n + 1 > 5 OR f.st + o.t > 9000 OR f.sb + o.b > 9500 AS new) x)
+  LATERAL (SELECT o.t > 45000 OR o.b > 8000000 AS bad, f.batch = 0 OR f.n + 1 > 16 OR f.st + o.t > 45000 OR f.sb + o.b > 8000000 AS new) x)
 SELECT grp, doc_id, CASE WHEN bad THEN NULL ELSE batch::bigint END AS batch_no FROM f""",
     "retry_delays": "SELECT p_partkey, round(least(30.0, greatest(least(30.0, pow(2.0, p_size % 7)), CASE WHEN p_size % 3 = 0 THEN p_size / 4.0 ELSE 0 END, CASE WHEN p_size % 5 = 0 THEN 12.5 ELSE 0.0 END) + (p_size % 10) / 10.0)::double, 6) AS delay_seconds FROM part",
     "http_outcomes": """SELECT p_partkey, status, CASE WHEN status BETWEEN 200 AND 299 THEN NULL WHEN status = 401 THEN 'authentication' WHEN status = 403 THEN 'authorization' WHEN status = 429 THEN 'rate_limit' WHEN status IN (400, 404, 409, 413, 422) THEN 'deterministic_request'
   WHEN status BETWEEN 500 AND 599 THEN 'transient_server' ELSE 'request_failure' END AS code, CASE WHEN status BETWEEN 200 AND 299 THEN NULL ELSE status = 429 OR status BETWEEN 500 AND 599 END AS retryable FROM (SELECT p_partkey, (200 + (p_partkey * 7) % 400)::int AS status FROM part)""",
-    "image_admissions": """WITH p AS (SELECT p_partkey, (p_size * 211 + 1)::int AS w, (p_partkey % 9000 + 1)::int AS h, trunc(p_retailprice * 4000)::bigint AS b FROM part),
-s AS (SELECT *, CASE WHEN w::bigint * h > 20000000 THEN sqrt(20000000.0::double / (w::double * h)) ELSE 1.0 END AS k FROM p), t AS (SELECT *, greatest(1, floor(w * k))::int AS sw, greatest(1, floor(h * k))::int AS sh FROM s)
+    "image_admissions": """WITH p AS (SELECT p_partkey, p_partkey % 10 = 0 AS thin, CASE WHEN p_partkey % 10 = 0 THEN 1 ELSE p_size * 211 + 1 END::int AS w, CASE WHEN p_partkey % 10 = 0 THEN 30000000 + p_partkey ELSE p_partkey % 9000 + 1 END::int AS h, trunc(p_retailprice * 4000)::bigint AS b FROM part),
+s AS (SELECT *, CASE WHEN w::bigint * h > 20000000 THEN sqrt(20000000.0::double / (w::double * h)) ELSE 1.0 END AS k FROM p), t AS (SELECT *, CASE WHEN thin THEN 1 ELSE greatest(1, floor(w * k)) END::int AS sw, CASE WHEN thin THEN 20000000 ELSE greatest(1, floor(h * k)) END::int AS sh FROM s)
 SELECT p_partkey, CASE WHEN b <= 5000000 AND w::bigint * h <= 20000000 THEN 'pass_through' ELSE 'render' END AS admission, sw AS scaled_width, sh AS scaled_height, (ceil(sw / 28.0) * ceil(sh / 28.0) * 10)::bigint AS tokens FROM t""",
     "event_properties": "SELECT event_type, k AS name, count(*) AS events, count(DISTINCT json_extract_string(props, '$.' || k)) AS distinct_values FROM (SELECT event_type, props, unnest(json_keys(props)) AS k FROM events) GROUP BY ALL",
 }

@@ -33,10 +33,12 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that all executors see: spark.checkpoint.dir, or a temporary one where that is unset and Spark runs in one process (tests)."""
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="foliospark-"))
         atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
