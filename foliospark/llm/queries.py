@@ -97,7 +97,13 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return spans.shared_amounts(docs, spans.shared_regions(docs))
 
 
-QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p3_found": p3_found, "p3_records": p3_records, "p3_stored_ranks": p3_stored_ranks, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p5_found": p5_found, "p5_files": p5_files, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
+def p8_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """At 120 code points, twice that, and so on until nothing is shared: the documents, regions and code points concerned."""
+    found = spans.levels(table(spark, sf, "documents"))
+    return found.groupBy("length").agg(F.countDistinct("doc_id").alias("documents"), F.count("*").alias("regions"), F.sum(F.col("char_end") - F.col("char_start")).alias("shared_chars"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p3_found": p3_found, "p3_records": p3_records, "p3_stored_ranks": p3_stored_ranks, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p5_found": p5_found, "p5_files": p5_files, "p6_ids": p6_ids, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares, "p8_levels": p8_levels}
 
 _RANKED = r"""
 WITH lim AS (SELECT max(finished_at) AS latest FROM runs),
@@ -117,6 +123,14 @@ p AS (SELECT a.configuration_id, a.modality, a.article_id, b.article_id AS neigh
 k AS (SELECT *, row_number() OVER (PARTITION BY configuration_id, modality, article_id ORDER BY similarity DESC, neighbour_id) AS rn FROM p WHERE similarity >= 0.8)
 """
 
+_SHARED = """WITH w AS (SELECT doc_id, i, substring(text, (i + 1)::int, {length}) AS s FROM (SELECT doc_id, text, unnest(range(length(text) - {length} - 1)) AS i FROM documents WHERE doc_id IS NOT NULL AND length(text) >= {length})),
+repeated AS (SELECT s FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+m AS (SELECT DISTINCT doc_id, i FROM w WHERE s IN (SELECT s FROM repeated)),
+n AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {length} THEN 0 ELSE 1 END AS new FROM m),
+g AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM n),
+regions AS (SELECT doc_id, min(i)::bigint AS char_start, (max(i) + {length})::bigint AS char_end FROM g GROUP BY doc_id, island)
+"""
+
 ORACLE: dict[str, str] = {
     "p3_found": _RANKED
     + r""", many AS (SELECT article_id FROM r GROUP BY article_id HAVING count(DISTINCT source_html_path) > 1),
@@ -150,10 +164,7 @@ UNION ALL SELECT x.item, x.part_index, x.s, CASE WHEN x.n - x.s <= 2000 THEN x.n
     list_max(list_filter(x.words, lambda p: p > x.s + 200 AND p <= x.s + 2000)), x.s + 2000)::bigint END, x.n
   FROM (SELECT k.*, walk.part_index + 1 AS part_index, CASE WHEN walk.part_index < 0 THEN 0 ELSE coalesce(list_min(list_filter(k.words, lambda p: p >= walk.e - 200 AND p < walk.e)), walk.e - 200)::bigint END AS s FROM walk JOIN k USING (item) WHERE walk.e < walk.n) x)
 SELECT doc_id, part_index::bigint AS part_index, s AS char_start, e AS char_end FROM walk JOIN d USING (item) WHERE part_index >= 0""",
-    "p8_found": """WITH w AS (SELECT doc_id, i, substring(text, (i + 1)::int, 120) AS s FROM (SELECT doc_id, text, unnest(range(length(text) - 119)) AS i FROM documents WHERE doc_id IS NOT NULL AND length(text) >= 120)),
-repeated AS (SELECT s FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
-m AS (SELECT DISTINCT doc_id, i FROM w WHERE s IN (SELECT s FROM repeated)),
-n AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 120 THEN 0 ELSE 1 END AS new FROM m),
-g AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM n)
-SELECT doc_id, min(i)::bigint AS char_start, (max(i) + 120)::bigint AS char_end FROM g GROUP BY doc_id, island""",
+    "p8_found": _SHARED.format(length=120) + "SELECT doc_id, char_start, char_end FROM regions",
+    "p8_shares": _SHARED.format(length=120)
+    + "SELECT d.doc_id, max(coalesce(length(text), 0))::bigint AS n_chars, coalesce(max(s.chars), 0)::bigint AS shared_chars, CASE WHEN max(coalesce(length(text), 0)) > 0 THEN coalesce(max(s.chars), 0) / max(coalesce(length(text), 0)) ELSE 0.0::double END AS share FROM documents d LEFT JOIN (SELECT doc_id, sum(char_end - char_start) AS chars FROM regions GROUP BY 1) s USING (doc_id) WHERE doc_id IS NOT NULL GROUP BY 1",
 }

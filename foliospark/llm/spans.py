@@ -2,13 +2,16 @@
 
 A window of `length` code points can only be repeated if what it contains is repeated, so windows are
 compared at a quarter of the length first, and only what is repeated there, in two different records,
-is looked at at twice that length, and again.
+is looked at at twice that length, and again; `levels` goes on to twice the length and twice that, until
+no candidates survive.
 
 Level 1 (a quarter of the length) does not compare every position. Every full window is represented
 by one short window in it, that with the least hash (ties: the leftmost), which depends on nothing
 but the full window's own text. Equal full windows therefore have equal representatives at the same
 place in them, and about one position in forty-five is compared. A representative stands for the full
-windows `lo..hi` (their starts) that chose it.
+windows `lo..hi` (their starts) that chose it. Only the hashes pass a shuffle; those that are repeated
+go into a filter of bounded size, and a second pass over the texts takes out the stretches around
+representatives that pass it, so that no text without a candidate is ever moved.
 
 Level 2 (half the length) compares the two windows of that length that continue a surviving
 representative to the right and to the left; a full window contains at least one of them.
@@ -28,6 +31,7 @@ compares texts by two 64-bit hashes and their length.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,8 @@ from foliospark.sources.tables import stage
 
 #: Window starts handled at once; longer texts are worked off in stretches of this many.
 STRETCH = 1 << 20
+#: Bits of the filter of repeated hashes at most (64 MB), and how many a hash should have. Beyond that no filter is used and all stretches are compared.
+MOST_BITS, BITS_A_HASH = 1 << 29, 16
 #: An odd base and its inverse modulo 2**64, by which a window's hash is freed of the window's place.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -96,18 +102,19 @@ def representatives(text: str, length: int, k: int, hasher: Hasher) -> tuple[np.
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 4
 
 
-def _representatives_of(docs: DataFrame, length: int, k: int, kind: str) -> DataFrame:
+def _hashes(rows: DataFrame, length: int, k: int, kind: str) -> DataFrame:
+    """(id, h): the representatives' hashes of each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                found = [representatives(t, length, k, hasher) for t in part.column(1).to_pylist()]
-                rows = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-                lo, hi, at, h = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(h)], names=["id", "lo", "hi", "at", "h"])
+                found = [np.unique(representatives(t, length, k, hasher)[3]) for t in part.column("text").to_pylist()]
+                rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(rows)), pa.array(np.concatenate(found))], names=["id", "h"])
 
-    return docs.mapInArrow(run, f"id {kind}, lo int, hi int, at int, h long")
+    return rows.select("id", "text").mapInArrow(run, f"id {kind}, h long")
 
 
 def _repeated(df: DataFrame, *keys: str) -> DataFrame:
@@ -115,49 +122,68 @@ def _repeated(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min("a").alias("a"), F.max("z").alias("z")).filter(F.col("a") < F.col("z")).select(*keys)
 
 
-def _stretches(marked: DataFrame, docs: DataFrame, length: int, k: int, kind: str) -> DataFrame:
-    """The text of each surviving stretch: (id, lo, hi, off, h, text), off the representative's place in it."""
-    per_doc = marked.groupBy("id").agg(F.collect_list(F.struct("lo", "hi", "at", "h")).alias("marks"))
-    joined = docs.join(per_doc, "id").select("id", "text", "marks")
+def filter_of(hashes: DataFrame) -> np.ndarray | None:
+    """A bit filter of a staged frame's 64-bit hashes h, combined by the executors; None if it would exceed MOST_BITS."""
+    n = hashes.count()
+    bits = 1 << max(10, (BITS_A_HASH * n - 1).bit_length())
+    if bits > MOST_BITS:
+        return None
+    place = F.explode(F.array(F.col("h").bitwiseAND(bits - 1), F.shiftrightunsigned("h", 32).bitwiseAND(bits - 1))).alias("p")
+    word = hashes.select(place).select(F.shiftright("p", 5).cast("int").alias("at"), F.expr("shiftleft(1L, cast(p & 31 as int))").alias("bit"))
+    found = word.groupBy("at").agg(F.bit_or("bit").alias("word")).toArrow()  # a row per word of the filter at most
+    out = np.zeros(bits // 32, np.uint32)
+    out[found["at"].to_numpy()] = found["word"].to_numpy().astype(np.uint32)
+    return out
+
+
+def passes(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the hashes can be in the filter."""
+    u, low = h.view(np.uint64), np.uint64(len(words) * 32 - 1)
+    first, second = u & low, (u >> np.uint64(32)) & low
+    hit = lambda p: (words[(p >> np.uint64(5)).astype(np.int64)] >> (p & np.uint64(31)).astype(np.uint32)) & np.uint32(1)
+    return (hit(first) & hit(second)).astype(bool)
+
+
+def _stretches(rows: DataFrame, words: np.ndarray | None, length: int, k: int, kind: str) -> DataFrame:
+    """(id, lo, hi, off, h, text) of each stretch whose representative passes the filter; off is the representative's place in it."""
+    shared = rows.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                rows, lo, hi, off, hs, texts = [], [], [], [], [], []
-                for row, (text, marks) in enumerate(zip(part.column(1).to_pylist(), part.column(2))):
-                    m = marks.values.flatten()
-                    for a, b, at, h in zip(*(x.to_pylist() for x in m)):
-                        # Of several rows with one id, a mark belongs to that whose text has its hash there.
-                        window = text[at : at + k]
-                        if len(window) == k and b + length <= len(text) and _hash_of(window, hasher) == h:
-                            rows.append(row), lo.append(a), hi.append(b), off.append(at - a), hs.append(h), texts.append(text[a : b + length])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows, pa.int64())), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(off, pa.int32()), pa.array(hs, pa.int64()), pa.array(texts, pa.string())], names=["id", "lo", "hi", "off", "h", "text"]
-                )
-
-    return joined.mapInArrow(run, f"id {kind}, lo int, hi int, off int, h long, text string")
+                at, columns, texts = [], [], []
+                for row, (base, text) in enumerate(zip(part.column("base").to_pylist(), part.column("text").to_pylist())):
+                    lo, hi, place, h = representatives(text, length, k, hasher)
+                    kept = passes(shared.value, h) if shared.value is not None else np.ones(len(h), bool)
+                    lo, hi, place, h = lo[kept], hi[kept], place[kept], h[kept]
+                    texts += [text[a : b + length] for a, b in zip(lo.tolist(), hi.tolist())]
+                    at += [row] * len(h)
+                    columns.append((lo + base, hi + base, place - lo, h))
+                own = [np.concatenate(x) for x in zip(*columns)]
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(at, pa.int64())), *(pa.array(x, pa.int64()) for x in own[:2]), pa.array(own[2], pa.int32()), pa.array(own[3], pa.int64()), pa.array(texts, pa.string())], names=["id", "lo", "hi", "off", "h", "text"])
 
-
-def _hash_of(window: str, hasher: Hasher) -> int:
-    return int(hasher.windows(np.frombuffer(window.encode("utf-32-le"), np.uint32), len(window)).view(np.int64)[0])
+    return rows.select("id", "base", "text").mapInArrow(run, f"id {kind}, lo long, hi long, off int, h long, text string")
 
 
 def _two_hashes(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("w1"), F.xxhash64(F.lit("second"), text).alias("w2")]
 
 
-def shared_windows(docs: DataFrame, length: int = 120, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, lo, hi): starts of windows of `length` code points that another record holds too."""
-    if length < 8 or length % 4:
-        raise ValueError("length must be a multiple of 4, and 8 at least")
-    k, half = length // 4, length // 2
-    kind = docs.schema[id_column].dataType.simpleString()
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).filter(F.col("id").isNotNull() & (F.length("text") >= length))
-    marks = stage(_representatives_of(texts, length, k, kind), "spans-1")
-    alive = marks.join(_repeated(marks.select("h", F.col("id").alias("a"), F.col("id").alias("z")), "h"), "h", "left_semi")
-    found = stage(_stretches(alive, texts, length, k, kind), "spans-2")
+def texts_of(docs: DataFrame, length: int, id_column: str, text_column: str) -> DataFrame:
+    """(id, base, text) of the records that can hold a window; base is where the text begins in the record."""
+    return docs.select(F.col(id_column).alias("id"), F.lit(0).cast("long").alias("base"), F.col(text_column).alias("text")).filter(F.col("id").isNotNull() & (F.length("text") >= length))
+
+
+def shared_windows(rows: DataFrame, length: int) -> DataFrame:
+    """(id, lo, hi): starts of windows of `length` code points in rows (id, base, text) that another record holds too."""
+    if length < 8:
+        raise ValueError("length must be 8 at least")
+    k, half = length // 4, length // 4 * 2
+    kind = rows.schema["id"].dataType.simpleString()
+    alive = stage(_repeated(_hashes(rows, length, k, kind).select("h", F.col("id").alias("a"), F.col("id").alias("z")), "h"), "spans-1")
+    found = stage(_stretches(rows, filter_of(alive), length, k, kind), "spans-2")
 
     # Level 2: copies of a stretch stand for themselves once from here on.
     same = found.groupBy("h", "off", "text").agg(F.min("id").alias("a"), F.max("id").alias("z"))
@@ -198,14 +224,37 @@ def shared_regions(docs: DataFrame, length: int = 120, id_column: str = "doc_id"
     A position belongs to a region if it lies in a run of at least `length` code points that the text of
     another id holds as well. Rows without an id or with a text shorter than `length` (null, empty) have
     no regions and are no partners; repeated rows and repetition inside one id do not count; if rows of
-    one id differ, their regions are united. Extra columns are not read.
+    one id differ, their regions are united. `length` is 8 or more. Extra columns are not read.
     """
-    w = shared_windows(docs, length, id_column, text_column).select("id", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
+    return regions_of(shared_windows(texts_of(docs, length, id_column, text_column), length), length).withColumnRenamed("id", id_column)
+
+
+def regions_of(windows: DataFrame, length: int) -> DataFrame:
+    """(id, char_start, char_end): windows (id, lo, hi) united where they touch."""
+    w = windows.select("id", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
     before = Window.partitionBy("id").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
     island = F.sum("new").over(Window.partitionBy("id").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, 0))
     marked = w.withColumn("reach", F.max("e").over(before)).withColumn("new", (F.col("reach").isNull() | (F.col("s") > F.col("reach"))).cast("long")).withColumn("island", island)
-    regions = marked.groupBy("id", "island").agg(F.min("s").cast("long").alias("char_start"), F.max("e").cast("long").alias("char_end"))
-    return regions.select(F.col("id").alias(id_column), "char_start", "char_end")
+    return marked.groupBy("id", "island").agg(F.min("s").cast("long").alias("char_start"), F.max("e").cast("long").alias("char_end")).select("id", "char_start", "char_end")
+
+
+def levels(docs: DataFrame, length: int = 120, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, length, char_start, char_end): the regions shared at `length`, at twice that, and so on, until none survives.
+
+    A level looks only into regions of the level before that are long enough for it, cut out of their texts.
+    Rows of one id are taken together; null ids and texts take no part.
+    """
+    rows, found = texts_of(docs, length, id_column, text_column), []
+    while True:
+        r = stage(regions_of(shared_windows(rows, length), length), f"level-{length}")
+        found.append(r.withColumn("length", F.lit(length)))
+        length *= 2
+        longer = r.filter(F.col("char_end") - F.col("char_start") >= length).withColumnRenamed("id", "r_id")
+        if longer.isEmpty():
+            return reduce(DataFrame.unionByName, found).select(F.col("id").alias(id_column), "length", "char_start", "char_end")
+        inside = (F.col("id") == F.col("r_id")) & (F.col("base") <= F.col("char_start")) & (F.col("char_end") <= F.col("base") + F.length("text"))
+        cut = F.substring("text", (F.col("char_start") - F.col("base") + 1).cast("int"), (F.col("char_end") - F.col("char_start")).cast("int"))
+        rows = stage(rows.join(longer, inside).select("id", F.col("char_start").alias("base"), cut.alias("text")), f"texts-{length}")
 
 
 def shared_amounts(docs: DataFrame, regions: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

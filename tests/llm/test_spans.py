@@ -31,7 +31,7 @@ def brute(rows, length):
     return out
 
 
-@pytest.mark.parametrize("seed,alphabet,length", [(1, "ab", 8), (2, "abcdefgh", 16), (3, "aé😀", 12), (4, "abcdefghijklmnop", 32)])
+@pytest.mark.parametrize("seed,alphabet,length", [(1, "ab", 8), (2, "abcdefgh", 16), (3, "aé😀", 12), (4, "abcdefghijklmnop", 32), (5, "abcdefgh", 15), (6, "aé😀b", 9)])
 def test_against_brute_force(spark, seed, alphabet, length):
     r = random.Random(seed)
     make = lambda n: "".join(r.choice(alphabet) for _ in range(n))
@@ -70,3 +70,33 @@ def test_representatives_cover_every_window_alike():
     inner = spans.representatives(text[500:2000], 40, 10, spans.Hasher())
     seen = {(a, x) for l, g, a, x in zip(*(v.tolist() for v in (lo, hi, at, h)))}
     assert {(a + 500, x) for _, _, a, x in zip(*(v.tolist() for v in inner))} <= seen
+
+
+def test_no_filter_and_small_pieces_change_nothing(spark, monkeypatch):
+    r = random.Random(12)
+    make = lambda n: "".join(r.choice("abcdef") for _ in range(n))
+    parts = [make(r.randint(10, 60)) for _ in range(8)]
+    rows = [(k, "".join(r.choice(parts) if r.random() < 0.6 else make(r.randint(0, 20)) for _ in range(r.randint(0, 7)))) for k in range(30)]
+    docs, expect = spark.createDataFrame(rows, "doc_id long, text string"), brute(rows, 16)
+    monkeypatch.setattr(spans, "STRETCH", 40)
+    assert {tuple(x) for x in spans.shared_regions(docs, 16).collect()} == expect
+    monkeypatch.setattr(spans, "MOST_BITS", 1)
+    assert {tuple(x) for x in spans.shared_regions(docs, 16).collect()} == expect
+
+
+def test_levels_double_until_nothing_survives(spark):
+    r = random.Random(13)
+    make = lambda n: "".join(r.choice("abcdefghijklmnop ") for _ in range(n))
+    long_, short = make(200), make(40)
+    rows = [(1, make(30) + long_ + make(10)), (2, long_ + make(50) + short), (3, make(20) + short + long_[30:110]), (4, make(100)), (5, None), (None, long_)]
+    got = [tuple(x) for x in spans.levels(spark.createDataFrame(rows, "doc_id long, text string"), 16).collect()]
+    assert len(got) == len(set(got)) and {x[1] for x in got} == {16, 32, 64, 128}
+    for n in (16, 32, 64, 128):
+        assert {(i, a, b) for i, level, a, b in got if level == n} == brute(rows, n)
+
+
+def test_the_filter_has_no_false_negatives(spark):
+    h = np.random.default_rng(4).integers(-(2**63), 2**63, 5000)
+    words = spans.filter_of(spark.createDataFrame([(int(x),) for x in h], "h long"))
+    assert spans.passes(words, h).all()
+    assert spans.passes(words, np.random.default_rng(5).integers(-(2**63), 2**63, 20_000)).mean() < 0.05
