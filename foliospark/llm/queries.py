@@ -123,7 +123,7 @@ p AS (SELECT a.configuration_id, a.modality, a.article_id, b.article_id AS neigh
 k AS (SELECT *, row_number() OVER (PARTITION BY configuration_id, modality, article_id ORDER BY similarity DESC, neighbour_id) AS rn FROM p WHERE similarity >= 0.8)
 """
 
-_SHARED = """WITH w AS (SELECT doc_id, i, substring(text, (i + 1)::int, {length}) AS s FROM (SELECT doc_id, text, unnest(range(length(text) - {length} - 1)) AS i FROM documents WHERE doc_id IS NOT NULL AND length(text) >= {length})),
+_SHARED = """WITH w AS (SELECT doc_id, i, substring(text, (i + 1)::int, {length}) AS s FROM (SELECT doc_id, text, unnest(range(length(text) - ({length} - 1))) AS i FROM documents WHERE doc_id IS NOT NULL AND length(text) >= {length})),
 repeated AS (SELECT s FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
 m AS (SELECT DISTINCT doc_id, i FROM w WHERE s IN (SELECT s FROM repeated)),
 n AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {length} THEN 0 ELSE 1 END AS new FROM m),
