@@ -226,7 +226,7 @@ def embed_texts(texts: DataFrame, provider: Provider, limit: int, policy: batchi
         F.count("*").alias("units"),
         F.count_if(F.col("state") == "succeeded").alias("succeeded"),
         F.count_if(F.col("state") == "terminal").alias("terminal"),
-        F.min("error_code").alias("error_code"),
+        F.min(F.when(F.col("error_code").isNotNull(), F.struct("part_index", "error_code")))["error_code"].alias("error_code"),  # that of the first part that failed
         F.max("attempt_count").alias("attempt_count"),
         F.sum("calls").cast("int").alias("calls"),
         F.max("status_code").alias("status_code"),

@@ -24,13 +24,14 @@ from foliospark.functions import images as img
 from foliospark.operators import batching, embed, reconcile
 from foliospark.operators import work as wk
 from foliospark.operators.embedding_validation import Catalogue
+from foliospark.sources import sinks
 from foliospark.sources.store import Store, insert_ignore, upsert
 from foliospark.sources.tables import stage
 
 KEY = wk.KEY
 #: The public columns of the synthetic configuration, and what a hosted one has in their place by default.
 PROFILE = {
-    "model": "synthetic", "observed_model": "synthetic", "client_api_contract_version": schemas.SYNTHETIC_CONTRACT, "task": "retrieval.passage", "dimensions": 16, "output_type": "float", "normalization": "l2-client-float32-v1", "tokenizer_revision": "synthetic-codepoints-v1",
+    "model": "synthetic", "observed_model": "synthetic", "client_api_contract_version": schemas.SYNTHETIC_CONTRACT, "task": "document", "dimensions": 16, "output_type": "float", "normalization": "l2-client-float32-v1", "tokenizer_revision": "synthetic-codepoints-v1",
     "tokenizer_engine": "synthetic-codepoints-v1", "context_token_limit": 8000, "context_rules": "markdown-block-greedy-no-overlap-truncate-false-v1", "long_text_aggregation": "l2-token-count-weighted-mean-float32-v1", "long_text_part_attempt_limit": 3, "batch_max_items": 16, "batch_max_estimated_tokens": 45000,
     "batch_max_encoded_bytes": 8000000, "batch_max_response_bytes": 2000000, "batch_max_concurrency": 2, "batch_max_attempts": 3, "batch_initial_backoff_seconds": 1.0, "batch_max_backoff_seconds": 30.0, "quota_max_requests": 90, "quota_max_estimated_tokens": 90000, "quota_window_seconds": 60,
     "image_input_rules": "header-facts-v1", "image_transform": "none-v1", "multimodal_formula": "l2-normalize-0.5-text-0.5-image-v1", "client_configuration_version": "config-v1",
@@ -136,11 +137,13 @@ def header_inputs(scope: DataFrame, files: DataFrame, codec: Callable[[bytes], b
     )
 
 
-def run(store: Store, articles: DataFrame, provider: embed.Provider, conf: dict, files: DataFrame | None = None, limit: int | None = None, reprocess: bool = False, authorized: bool = False, codec: Callable[[bytes], bytes] | None = None) -> dict:
+def run(store: Store, articles: DataFrame, provider: embed.Provider, conf: dict, files: DataFrame | None = None, limit: int | None = None, reprocess: bool = False, authorized: bool = False, codec: Callable[[bytes], bytes] | None = None, rendition_root: str | None = None) -> dict:
     """Embed articles (article_id, text, header_image_path, published_at_utc, publication_date_new_york); files are the images (path, data).
 
     A limited run takes the first articles by id and reconciles nothing; a full run also retires work of
-    articles that are gone. Articles without an id or a text take no part. Returns the run's record.
+    articles that are gone. Articles without an id or a text take no part. Images that the codec made are
+    installed below `rendition_root`, if given, before the commit; a full run removes there what nothing
+    refers to any more. Returns the run's record.
     """
     if not provider.synthetic and not authorized:
         raise NotAuthorized("a hosted provider needs an authorization")
@@ -148,16 +151,19 @@ def run(store: Store, articles: DataFrame, provider: embed.Provider, conf: dict,
     run_id = begin(store, conf, "full" if limit is None else "limited")
     base = store.version()
     try:
-        changed, numbers = _work_off(store, base, run_id, articles, provider, conf, files, limit, reprocess, codec)
+        changed, numbers = _work_off(store, base, run_id, articles, provider, conf, files, limit, reprocess, codec, rendition_root)
     except Exception:
         store.commit({"embedding_runs": close_run(store.read("embedding_runs", base), run_id, "failed", elapsed_seconds=time.monotonic() - began)}, base, {"run_id": run_id})
         raise
     ended = close_run(store.read("embedding_runs", base), run_id, "succeeded", discovery_complete=limit is None, reconciliation_complete=limit is None, elapsed_seconds=time.monotonic() - began, **{k: v for k, v in numbers.items() if k in schemas.schema("embedding_runs").names})
     store.commit(changed | {"embedding_runs": ended}, base, {"run_id": run_id})
+    if rendition_root and limit is None:
+        removed = sinks.remove_orphans(sinks.tree(store.spark, rendition_root, "renditions"), changed["image_input_provenance"], rendition_root, "rendition_relative_path")
+        numbers["renditions_removed"] = removed.filter("removed").count()
     return {"run_id": run_id, **numbers}
 
 
-def _work_off(store: Store, base: int, run_id: str, articles: DataFrame, provider: embed.Provider, conf: dict, files: DataFrame | None, limit: int | None, reprocess: bool, codec: Callable[[bytes], bytes] | None) -> tuple[dict[str, DataFrame], dict]:
+def _work_off(store: Store, base: int, run_id: str, articles: DataFrame, provider: embed.Provider, conf: dict, files: DataFrame | None, limit: int | None, reprocess: bool, codec: Callable[[bytes], bytes] | None, rendition_root: str | None) -> tuple[dict[str, DataFrame], dict]:
     spark, cid, policy = store.spark, conf["configuration_id"], policy_of(conf)
     old = {t: store.read(t, base) for t in ("embedding_work", "embedding_storage", "generation_history", "full_run_articles", "multimodal_embedding_provenance", "image_input_provenance", "long_text_parts", "long_text_part_generations", "article_text_aggregation_provenance")}
     work, vectors = old["embedding_work"], old["embedding_storage"]
@@ -231,6 +237,10 @@ def _work_off(store: Store, base: int, run_id: str, articles: DataFrame, provide
     told = both.join(publish, "article_id", "left_semi").select("article_id", F.col("text_run").alias("text_generation_run_id"), F.col("text_hash").alias("text_stored_vector_sha256"), F.col("header_run").alias("header_image_generation_run_id"), F.col("header_hash").alias("header_image_stored_vector_sha256"))
     pictured = image.join(pictures.filter("state = 'succeeded'").select("article_id"), "article_id", "left_semi").withColumns({"source_sha256": F.col("input_sha256"), "transform_id": F.lit(conf["image_transform"])})
     rendition = F.when(F.col("rendered"), F.concat(F.lit("renditions/"), F.sha2("transform_id", 256), F.lit("/"), F.col("embedded_input_sha256"), F.lit(".jpg")))
+    if rendition_root:
+        made_files = pictured.filter("rendered").select(rendition.alias("path"), F.col("embedded_input_sha256").alias("sha256"), "data").dropDuplicates(["path"])
+        if conflict := sinks.write_files(made_files, rendition_root).filter("outcome = 'conflict'").take(1):
+            raise RuntimeError(f"another file is at {conflict[0].path}")
     mark = {"configuration_id": cid, "generation_run_id": run_id, "created_at": now}
     tried = parts.withColumnRenamed("input_sha256", "part_input_sha256").withColumn("derivation_kind", F.when(F.col("state") == "succeeded", F.lit("synthetic_fixture" if provider.synthetic else "hosted_response")))
     bare = {c: none for c in ("raw_response_sha256", "response_model")} if provider.synthetic else {}

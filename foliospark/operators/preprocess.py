@@ -24,7 +24,7 @@ from foliospark import schemas
 from foliospark.functions import identity as ids
 from foliospark.operators import extraction, ranking, validation
 from foliospark.operators import manifest as man
-from foliospark.sources import archive
+from foliospark.sources import archive, sinks
 from foliospark.sources.store import Store, replace_groups, upsert
 from foliospark.sources.tables import stage
 
@@ -88,6 +88,7 @@ def run(store: Store, root: str, options: Options = Options()) -> dict:
     store.commit(changed | {"runs": before.unionByName(record(status, summary))}, base, {"run_id": run_id})
     if options.markdown_root:
         export_markdown(changed["articles"].join(texts.select("source_html_path"), "source_html_path", "left_semi"), texts, options.markdown_root).count()
+        sinks.remove_orphans(sinks.tree(store.spark, options.markdown_root, "text"), changed["articles"], options.markdown_root, "cleaned_markdown_path").count()
     return summary | {"run_id": run_id, "status": status, "scope": options.scope}
 
 
@@ -161,34 +162,9 @@ def _work_off(store: Store, base: int, run_id: str, started: datetime, root: str
 
 
 def export_markdown(articles: DataFrame, texts: DataFrame, root: str) -> DataFrame:
-    """Write each article's text to its path under `root` and report (path, written, sha256).
+    """Write each article's text to its path under `root` and report (path, sha256, outcome).
 
-    Articles come with cleaned_markdown_path and markdown_sha256, texts with source_html_path and
-    markdown_text. A file is written aside, read again, verified and then put in its place; one that is
-    there with the right hash is left alone, so a repeated task changes nothing.
+    Articles come with cleaned_markdown_path and markdown_sha256, texts with source_html_path and markdown_text.
     """
-    j = articles.select("source_html_path", F.col("cleaned_markdown_path").alias("path"), F.col("markdown_sha256").alias("sha256")).join(texts.select("source_html_path", "markdown_text"), "source_html_path")
-
-    def write(batches):
-        import hashlib
-        import os
-
-        for pdf in batches:
-            rows = []
-            for path, digest, text in zip(pdf["path"], pdf["sha256"], pdf["markdown_text"]):
-                target, raw = os.path.join(root, path), text.encode()
-                have = hashlib.sha256(open(target, "rb").read()).hexdigest() if os.path.isfile(target) else None
-                if have != digest:
-                    os.makedirs(os.path.dirname(target), exist_ok=True)
-                    aside = f"{target}.{os.getpid()}.part"
-                    with open(aside, "wb") as f:
-                        f.write(raw)
-                    with open(aside, "rb") as f:
-                        if hashlib.sha256(f.read()).hexdigest() != digest:
-                            os.remove(aside)
-                            raise ValueError(f"{path}: the text does not have the catalogue's hash")
-                    os.replace(aside, target)
-                rows.append((path, have != digest, digest))
-            yield pd.DataFrame(rows, columns=["path", "written", "sha256"])
-
-    return j.select("path", "sha256", "markdown_text").mapInPandas(write, "path string, written boolean, sha256 string")
+    a = articles.select("source_html_path", F.col("cleaned_markdown_path").alias("path"), F.col("markdown_sha256").alias("sha256"))
+    return sinks.write_files(a.join(texts.select("source_html_path", F.encode("markdown_text", "utf-8").alias("data")), "source_html_path"), root, replace=True)

@@ -11,7 +11,7 @@ from foliospark.functions import digests, images
 from foliospark.functions import vectors as vec
 from foliospark.operators import batching, manifest, parts, ranking, reconcile, validation
 from foliospark.operators import work as wk
-from foliospark.sources import archive, store
+from foliospark.sources import archive, sinks, store
 
 CAND = "article_id string, source_html_path string, editorial_character_count long, editorial_block_count int, metadata_completeness int, updated_at_utc timestamp"
 D = lambda n: datetime(2024, 1, n)
@@ -207,3 +207,35 @@ def test_every_candidate_has_an_identity(spark, tmp_path):
     got = [tuple(r) for r in canonical_identities(spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted((p, article_identity(None, u and normalize_url(u), h, "id")) for p, _, h, u in rows)
     assert [dict(got)[f"p{k}"] for k in range(5)] == [f"html:{k:064x}" for k in range(5)]
+
+
+def test_file_sinks(spark, tmp_path):
+    import hashlib
+
+    root = str(tmp_path / "out")
+    h = lambda d: hashlib.sha256(d).hexdigest()
+    rows = lambda *x: spark.createDataFrame([(p, h(d), bytearray(d)) for p, d in x], "path string, sha256 string, data binary")
+    go = lambda df, **o: {r.path: r.outcome for r in sinks.write_files(df, root, **o).collect()}
+    assert go(rows(("renditions/a/1.jpg", b"1"), ("renditions/a/2.jpg", b"2"))) == {"renditions/a/1.jpg": "written", "renditions/a/2.jpg": "written"}
+    assert go(rows(("renditions/a/1.jpg", b"1"), ("renditions/a/2.jpg", b"x"))) == {"renditions/a/1.jpg": "present", "renditions/a/2.jpg": "conflict"}
+    assert go(rows(("renditions/a/2.jpg", b"x")), replace=True) == {"renditions/a/2.jpg": "written"}
+    with pytest.raises(ValueError):
+        sinks.put(root, "../x", b"", h(b""), False)
+    with pytest.raises(ValueError):
+        sinks.put(root, "x", b"1", h(b"2"), False)
+    (tmp_path / "out/renditions/a/3.jpg.abc.part").write_bytes(b"left")
+    os.symlink(tmp_path / "out/renditions/a/1.jpg", tmp_path / "out/renditions/a/link.jpg")
+    listed = sinks.tree(spark, root, "renditions")
+    assert {(r.path.rsplit("/", 1)[1], r.kind) for r in listed.collect()} == {("1.jpg", "file"), ("2.jpg", "file"), ("3.jpg.abc.part", "temp"), ("link.jpg", "other")}
+    kept = spark.createDataFrame([("renditions/a/1.jpg",), (None,)], "path string")
+    assert {(r.path, r.removed) for r in sinks.remove_orphans(listed, kept, root).collect()} == {("renditions/a/2.jpg", True), ("renditions/a/3.jpg.abc.part", True)}
+    assert sorted(p.name for p in (tmp_path / "out/renditions/a").iterdir()) == ["1.jpg", "link.jpg"] and sinks.tree(spark, root, "none").count() == 0
+
+
+def test_ordered_digests(spark):
+    a = spark.createDataFrame([(i, f"v{i % 7}") for i in range(500)], "i int, v string")
+    one = digests.ordered_digest(a, ["i"], "i", "v")
+    assert one == digests.ordered_digest(a.repartition(7), ["i"], "i", "v") != digests.ordered_digest(a.withColumn("i", 499 - F.col("i")), ["i"], "i", "v")
+    assert [r.position for r in digests.numbered(a, "i").orderBy("i").collect()] == list(range(500)) and digests.ordered_digest(a.limit(0), ["i"], "i") != one
+    files = spark.createDataFrame([("a", 1, 2, None)], "path string, size long, mtime_ns long, status string")
+    assert digests.tree_token(files) == digests.tree_token(files.repartition(3)) != digests.tree_token(files.withColumn("mtime_ns", F.lit(3)))

@@ -77,13 +77,15 @@ def test_gates_and_the_life_of_a_run(spark, tmp_path):
 @pytest.fixture(scope="module")
 def filled(spark, tmp_path_factory):
     """A catalogue after runs with texts, long texts, headers of every kind and composites."""
-    store = Store(spark, str(tmp_path_factory.mktemp("emb")))
+    store, root = Store(spark, str(tmp_path_factory.mktemp("emb"))), tmp_path_factory.mktemp("images")
     provider = embed.SyntheticProvider(8, (("never", "deterministic_request", False), ("later", "rate_limit", True)))
     rows = [("a", "text a", "a.png"), ("b", "long text b. " * 6, "b.png"), ("c", "never", "c.png"), ("d", "later"), ("e", "text e", "e.png"), ("f", "text f", "f.png"), ("g", "text g", "g.png"), ("h", "text h")]
     imgs = files(spark, a=PNG(40, 30), b=PNG(9000, 4000), c=PNG(10, 10), e=b"GIF89a", f=PNG(7000, 7000))
-    go = lambda rows, **o: embedding_run.run(store, articles(spark, *rows), provider, CONF, imgs, codec=lambda d: JPG(2000, 1000), **o)
+    go = lambda rows, **o: embedding_run.run(store, articles(spark, *rows), provider, CONF, imgs, codec=lambda d: JPG(2000, 1000), rendition_root=str(root), **o)
     first = go([*rows, ("z", "text z", "a.png")])
     second = go([*rows[:1], ("b", "another long text. " * 5, "b.png"), *rows[2:]])
+    placed = {r.rendition_relative_path for r in store.read("image_input_provenance").collect()} - {None}
+    assert {str(p.relative_to(root)) for p in root.rglob("*.jpg")} == placed and len(placed) == 1
     return store, articles(spark, *[r if r[0] != "b" else ("b", "another long text. " * 5, "b.png") for r in rows]), first, second
 
 

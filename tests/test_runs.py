@@ -66,7 +66,7 @@ def test_preprocessing_runs(spark, tmp_path):
     texts = spark.createDataFrame([("a/1.html", "T1")], "source_html_path string, markdown_text string")
     arts = store.read("articles").filter("source_html_path = 'a/1.html'").withColumn("markdown_sha256", F.sha2(F.lit("T1"), 256))
     out = preprocess.export_markdown(arts, texts, str(tmp_path / "md")).collect()
-    assert out[0].written and (tmp_path / "md" / out[0].path).read_text() == "T1" and not preprocess.export_markdown(arts, texts, str(tmp_path / "md")).collect()[0].written
+    assert out[0].outcome == "written" and (tmp_path / "md" / out[0].path).read_text() == "T1" and preprocess.export_markdown(arts, texts, str(tmp_path / "md")).collect()[0].outcome == "present"
 
 
 def test_a_run_that_breaks_leaves_its_record_only(spark, tmp_path, monkeypatch):
