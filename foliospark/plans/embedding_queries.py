@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark import schemas
@@ -81,8 +81,15 @@ def configuration_identities(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("configuration_id", validation.configuration_identity(c).alias("derived_id"))
 
 
+def digit(c: str = "article_id") -> Column:
+    """The first digit of an id's hash: which rows a query over damaged tables damages, and how."""
+    return F.substring(F.sha2(c, 256), 1, 1)
+
+
 def vector_hash_mismatches(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.hash_mismatches(stored(spark, sf))
+    """Stored vectors whose hash is not theirs, after the hashes of the articles of digit 0 were overwritten."""
+    damaged = F.when(digit() == "0", F.lit("0" * 64)).otherwise(F.col("stored_vector_sha256"))
+    return validation.hash_mismatches(stored(spark, sf).withColumn("stored_vector_sha256", damaged))
 
 
 def storage_digest(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,7 +129,11 @@ def vector_issues(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def part_issues(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.part_issues(table(spark, sf, "long_text_parts"), configurations(spark, sf), table(spark, sf, "runs"))
+    """Issues of the stored parts, after spans (digit 2), states (3), errors (4) and runs (5) of some articles were damaged."""
+    p = table(spark, sf, "long_text_parts")
+    change = {"char_end": ("2", F.col("char_start")), "state": ("3", F.lit("odd")), "error_code": ("4", F.lit("x")), "last_run_id": ("5", F.lit("none"))}
+    odd = p.withColumns({c: F.when(digit() == d, v).otherwise(F.col(c)) for c, (d, v) in change.items()})
+    return validation.part_issues(odd, configurations(spark, sf), table(spark, sf, "runs"))
 
 
 def part_gaps(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,8 +152,9 @@ def part_plan_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def publication_mismatches(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors of known articles whose publication time is another one now."""
-    a = articles(spark, sf).select("article_id", F.col("published_at_utc").alias("a_at"))
+    """Vectors of known articles whose publication time is another one now; the articles of digit 1 were moved by a day."""
+    moved = F.col("published_at_utc") + F.when(digit() == "1", F.expr("interval 1 day")).otherwise(F.expr("interval 0 day"))
+    a = articles(spark, sf).select("article_id", moved.alias("a_at"))
     return stored(spark, sf).join(a, "article_id").filter(~F.col("published_at_utc").eqNullSafe(F.col("a_at"))).select(*KEY)
 
 
@@ -213,14 +225,18 @@ def visible_work(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.visible_work(work_table(spark, sf), staged_actions(spark, sf), _complete(spark)).select(*KEY, "source_relative_path", "input_sha256", "state", "attempt_count")
 
 
-def compaction_differences(spark: SparkSession, sf: str) -> DataFrame:
-    """What compaction would change in the visible work: nothing."""
+def compacted_work(spark: SparkSession, sf: str) -> DataFrame:
+    """The work as compaction leaves it, which is what was visible before."""
     w, v, a, r = work_table(spark, sf), stored(spark, sf), staged_actions(spark, sf), _complete(spark)
     history = spark.createDataFrame([], schemas.schema("generation_history"))
-    w2, _, _, a2 = reconcile.compact(w, v, history, a, r)
-    cols = [*KEY, "source_relative_path", "state"]
-    before, after = reconcile.visible_work(w, a, r).select(*cols), reconcile.visible_work(w2, a2, r).select(*cols)
-    return before.exceptAll(after).unionAll(after.exceptAll(before))
+    return reconcile.compact(w, v, history, a, r)[0].select(*KEY, "source_relative_path", "input_sha256", "state", "attempt_count")
+
+
+def compacted_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The generations that compaction archives: the vectors that were hidden."""
+    w, v, a, r = work_table(spark, sf), stored(spark, sf), staged_actions(spark, sf), _complete(spark)
+    history = reconcile.compact(w, v, spark.createDataFrame([], schemas.schema("generation_history")), a, r)[2]
+    return history.select(*KEY, "generation_run_id", "input_sha256", "stored_vector_sha256", "superseded_run_id", "superseded_reason")
 
 
 def rolling_quota(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,7 +286,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         vector_statuses, vector_norms, normalized_vectors, midpoint_vectors, weighted_mean_vectors, composite_identities, configuration_identities, vector_hash_mismatches, storage_digest, research_vectors, coverage_states, part_states, coverage,
-        vector_issues, part_issues, part_gaps, part_plans, part_plan_checks, publication_mismatches, stored_or_planned, generations_by_run, registered_work, reconciliation_actions, visible_vectors, visible_work, compaction_differences,
+        vector_issues, part_issues, part_gaps, part_plans, part_plan_checks, publication_mismatches, stored_or_planned, generations_by_run, registered_work, reconciliation_actions, visible_vectors, visible_work, compacted_work, compacted_history,
         rolling_quota, rolling_quota_of_all, greedy_packing, retry_delays, http_outcomes, image_admissions, event_properties,
     )
 }
@@ -340,9 +356,11 @@ UNION ALL SELECT 'missing_canonical_article', count(*) FROM j WHERE a_id IS NULL
 UNION ALL SELECT 'publication_metadata_mismatch', count(*) FROM j WHERE a_id IS NOT NULL AND (published_at_utc IS DISTINCT FROM a_at OR publication_date_new_york IS DISTINCT FROM a_day)) WHERE n > 0""",
     "part_gaps": """SELECT article_id, configuration_id, article_input_sha256, count(*) AS parts, max(part_count) AS part_count, count(*) FILTER (WHERE bad) AS gaps, max(char_end) AS char_end, sum(token_count)::bigint AS token_count FROM (
   SELECT *, char_start <> coalesce(lag(char_end) OVER w, 0) OR byte_start <> coalesce(lag(byte_end) OVER w, 0) OR part_index <> row_number() OVER w - 1 AS bad FROM long_text_parts WINDOW w AS (PARTITION BY article_id, configuration_id, article_input_sha256 ORDER BY part_index)) GROUP BY ALL""",
-    "part_issues": r"""WITH j AS (SELECT p.*, c.configuration_id AS c_id, c.context_token_limit AS lim, c.long_text_part_attempt_limit AS att FROM long_text_parts p LEFT JOIN embedding_configurations c USING (configuration_id)),
+    "part_issues": r"""WITH odd AS (SELECT * REPLACE (CASE WHEN g = '2' THEN char_start ELSE char_end END AS char_end, CASE WHEN g = '3' THEN 'odd' ELSE state END AS state, CASE WHEN g = '4' THEN 'x' ELSE error_code END AS error_code, CASE WHEN g = '5' THEN 'none' ELSE last_run_id END AS last_run_id)
+  FROM (SELECT *, substr(sha256(article_id), 1, 1) AS g FROM long_text_parts)),
+j AS (SELECT p.*, c.configuration_id AS c_id, c.context_token_limit AS lim, c.long_text_part_attempt_limit AS att FROM odd p LEFT JOIN embedding_configurations c USING (configuration_id)),
 gaps AS (SELECT article_id, configuration_id, article_input_sha256, count(*) AS parts, max(part_count) AS part_count, count(*) FILTER (WHERE bad) AS gaps FROM (SELECT *, char_start <> coalesce(lag(char_end) OVER w, 0) OR byte_start <> coalesce(lag(byte_end) OVER w, 0)
-  OR part_index <> row_number() OVER w - 1 AS bad FROM long_text_parts WINDOW w AS (PARTITION BY article_id, configuration_id, article_input_sha256 ORDER BY part_index)) GROUP BY 1, 2, 3)
+  OR part_index <> row_number() OVER w - 1 AS bad FROM odd WINDOW w AS (PARTITION BY article_id, configuration_id, article_input_sha256 ORDER BY part_index)) GROUP BY 1, 2, 3)
 SELECT * FROM (SELECT 'missing_configuration_reference' AS code, count(*) AS n FROM j WHERE c_id IS NULL
 UNION ALL SELECT 'invalid_long_text_part', count(*) FROM j WHERE part_index < 0 OR part_index >= part_count OR char_start < 0 OR char_end <= char_start OR byte_end - byte_start < char_end - char_start OR token_count < 1 OR token_count > lim
   OR NOT coalesce(regexp_full_match(part_input_sha256, '[0-9a-f]{64}'), false) OR NOT coalesce(regexp_full_match(article_input_sha256, '[0-9a-f]{64}'), false)
@@ -365,7 +383,7 @@ w AS (SELECT list_transform(range(0, 8), lambda i: ('0x' || substr(h, (8 * i + 1
 SELECT count(*) AS n, bit_xor(w[1]) AS x0, bit_xor(w[2]) AS x1, bit_xor(w[3]) AS x2, bit_xor(w[4]) AS x3, bit_xor(w[5]) AS x4, bit_xor(w[6]) AS x5, bit_xor(w[7]) AS x6, bit_xor(w[8]) AS x7,
   sum(w[1])::bigint AS s0, sum(w[2])::bigint AS s1, sum(w[3])::bigint AS s2, sum(w[4])::bigint AS s3, sum(w[5])::bigint AS s4, sum(w[6])::bigint AS s5, sum(w[7])::bigint AS s6, sum(w[8])::bigint AS s7 FROM w""",
     "part_plan_checks": "SELECT doc_id, length(text) AS chars, octet_length(encode(text)) AS bytes, true AS within FROM documents WHERE length(text) > 2000",
-    "publication_mismatches": _CAND + "SELECT s.article_id, s.modality, s.configuration_id FROM embedding_storage s JOIN art a USING (article_id) WHERE s.published_at_utc IS DISTINCT FROM a.published_at_utc",
+    "publication_mismatches": _CAND + "SELECT s.article_id, s.modality, s.configuration_id FROM embedding_storage s JOIN art a USING (article_id) WHERE s.published_at_utc IS DISTINCT FROM a.published_at_utc + CASE WHEN substr(sha256(article_id), 1, 1) = '1' THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END",
     "stored_or_planned": _CAND
     + """SELECT a.article_id, EXISTS (SELECT 1 FROM embedding_storage s WHERE s.article_id = a.article_id AND s.modality = 'article_text') AS has_text, EXISTS (SELECT 1 FROM long_text_parts p WHERE p.article_id = a.article_id) AS has_parts,
   EXISTS (SELECT 1 FROM duplicates d WHERE d.article_id = a.article_id) AS has_duplicates, (SELECT count(*) FROM embedding_storage s WHERE s.article_id = a.article_id) AS vectors FROM art a""",
@@ -385,7 +403,10 @@ SELECT article_id, modality, configuration_id, prior_state, CASE action WHEN 'di
     "visible_work": _ACTIONS
     + """SELECT article_id, modality, configuration_id, source_relative_path, input_sha256, state, 1 AS attempt_count FROM wk w WHERE NOT EXISTS (SELECT 1 FROM act WHERE act.article_id = w.article_id AND act.modality = w.modality AND act.configuration_id = w.configuration_id)
 UNION ALL SELECT article_id, modality, configuration_id, target_source_relative_path, NULL, target_state, 0 FROM act""",
-    "compaction_differences": "SELECT article_id, modality, configuration_id, source_relative_path, derivation_kind AS state FROM embedding_storage WHERE false",
+    "compacted_history": _ACTIONS
+    + """SELECT s.article_id, s.modality, s.configuration_id, substr(s.input_sha256, 1, 12) AS generation_run_id, s.input_sha256, s.stored_vector_sha256, 'run-full' AS superseded_run_id, 'input_changed' AS superseded_reason
+  FROM embedding_storage s JOIN act ON act.article_id = s.article_id AND act.modality = s.modality AND act.configuration_id = s.configuration_id""",
+    "vector_hash_mismatches": "SELECT article_id, modality, configuration_id, repeat('0', 64) AS stored_vector_sha256 FROM embedding_storage WHERE vector IS NOT NULL AND len(list_filter(vector, lambda x: x IS NULL)) = 0 AND substr(sha256(article_id), 1, 1) = '0'",
     "rolling_quota": "SELECT event_id, count(*) OVER w AS window_requests, (sum(event_id % 97) OVER w)::bigint AS window_tokens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW)",
     "rolling_quota_of_all": "SELECT event_id, count(*) OVER w AS window_requests, (sum(event_id % 97) OVER w)::bigint AS window_tokens FROM events WINDOW w AS (ORDER BY epoch_us(ts) RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW)",
     "greedy_packing": """WITH RECURSIVE d AS (SELECT coalesce(source, '') AS grp, doc_id, coalesce(length(text), 0) AS t, coalesce(octet_length(encode(text)), 0) AS b FROM documents),
@@ -403,3 +424,4 @@ s AS (SELECT *, CASE WHEN w::bigint * h > 20000000 THEN sqrt(20000000.0::double
 SELECT p_partkey, CASE WHEN b <= 5000000 AND w::bigint * h <= 20000000 THEN 'pass_through' ELSE 'render' END AS admission, sw AS scaled_width, sh AS scaled_height, (ceil(sw / 28.0) * ceil(sh / 28.0) * 10)::bigint AS tokens FROM t""",
     "event_properties": "SELECT event_type, k AS name, count(*) AS events, count(DISTINCT json_extract_string(props, '$.' || k)) AS distinct_values FROM (SELECT event_type, props, unnest(json_keys(props)) AS k FROM events) GROUP BY ALL",
 }
+ORACLE["compacted_work"] = ORACLE["visible_work"]
