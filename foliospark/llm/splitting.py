@@ -39,6 +39,8 @@ OPEN = re.compile(f"[^{SPACES}.!?…\"'”’»)\\]]")
 RANGE, HALO = 1 << 13, 1 << 8
 #: Bytes of a range of a file, and of its halo at first.
 FILE_RANGE, FILE_HALO = 8 << 20, 1 << 12
+#: Tasks that read ranges of files at most.
+MOST_TASKS = 100_000
 #: What tells that a gap has ended: a range sees this many code points more than a piece may be long.
 BEYOND = 2
 
@@ -330,5 +332,6 @@ def split_files(spark: SparkSession, paths: list[str], limits: Limits = Limits()
                     t = table_of_bytes(lambda a, b: f.read_at(b - a, a), total, number * size, min(total, (number + 1) * size), limits, halo)  # noqa: B023
                 yield _batch(batch.column("path").slice(k, 1), [_row(item, number, t, limits)])
 
-    tables = stage(ranges.repartition("item", "range_no").mapInArrow(run, f"id string, {TABLE}"), "boundaries")
+    tasks = min(MOST_TASKS, max(1, sum(-(-n // size) for _, _, n in listed)))  # given, else these few bytes would be few tasks
+    tables = stage(ranges.repartition(tasks).mapInArrow(run, f"id string, {TABLE}"), "boundaries")
     return emit(tables, stitch(tables), "string", limits).withColumnRenamed("id", "path")
