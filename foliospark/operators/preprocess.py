@@ -26,7 +26,10 @@ from foliospark.operators import extraction, ranking, validation
 from foliospark.operators import manifest as man
 from foliospark.sources import archive, sinks
 from foliospark.sources.store import Store, replace_groups, upsert
-from foliospark.sources.tables import stage
+from foliospark.sources.tables import spread, stage
+
+#: Pages that one task reads and extracts, about.
+PAGES_A_TASK = 500
 
 
 @dataclass(frozen=True)
@@ -67,7 +70,7 @@ def read_and_extract(pages: DataFrame, root: str, options: Options) -> DataFrame
                 rows.append({"source_html_path": path, "x_hash": digest, "unchanged": digest is not None and digest == known, **extraction.record(found)})
             yield extraction.frame(rows, ["source_html_path", "x_hash", "unchanged", *names])
 
-    given = pages.select("source_html_path", "known_sha256", "warnings").repartition("source_html_path")
+    given = spread(pages.select("source_html_path", "known_sha256", "warnings"), PAGES_A_TASK)
     found = given.mapInPandas(run, f"source_html_path string, x_hash string, unchanged boolean, {extraction.FIELDS}").drop("source_html_sha256")
     return found.withColumns({"publication_date_new_york": ids.new_york_date(F.col("published_at_utc")), "extractor_version": F.lit(options.version)})
 
@@ -97,7 +100,7 @@ def _work_off(store: Store, base: int, run_id: str, started: datetime, root: str
     old = {t: store.read(t, base) for t in ("source_manifest", "candidates", "duplicates", "failures", "articles")}
     paired = archive.pair_images(archive.listing(spark, root))
     seen = stage(archive.limited(paired, options.limit) if options.limit is not None else paired, "listed")
-    classified = man.classify(seen, old["source_manifest"], options.version)
+    classified = stage(man.classify(seen, old["source_manifest"], options.version), "compared")
     # A changed stat with the known hash and image is no change; a failure is tried again in any case.
     known = F.when((F.col("kind") == "stat_changed") & ~F.col("was_failed") & ~F.col("image_changed"), F.col("old_html_sha256"))
     todo = man.to_extract(classified, options.reprocess).withColumn("known_sha256", known)

@@ -17,9 +17,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from foliospark.sources.tables import spread
+
 # Image extensions in order of preference, and directories that are not walked.
 IMAGES = (".jpg", ".jpeg", ".png", ".webp")
 SKIPPED, SKIPPED_AT_TOP = ("__MACOSX",), ("backup",)
+#: Files that one task reads, about.
+FILES_A_TASK = 500
 #: Folders from which on a scan is not spread any further.
 FOLDERS = 256
 
@@ -128,7 +132,7 @@ def read_files(paths: DataFrame, root: str, path: str = "path") -> DataFrame:
             yield pd.DataFrame([(p, *read_safely(root, p)) for p in pdf["path"]], columns=["path", "status", "data"])
 
     given = paths.select(F.col(path).alias("path")).filter("path is not null").distinct()
-    return given.mapInPandas(run, "path string, status string, data binary")
+    return spread(given, FILES_A_TASK).mapInPandas(run, "path string, status string, data binary")
 
 
 def _stem(path: Column) -> Column:

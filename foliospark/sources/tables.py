@@ -32,6 +32,15 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
     return F.broadcast(df) if plan_bytes(df) <= limit else df
 
 
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """The frame in tasks of about `rows` rows each, for rows that are small themselves but name much work, such as paths to be read.
+
+    The number of tasks is given, else adaptive execution would put such rows into few tasks by their bytes.
+    Counts the frame, so it should be a staged or a cheap one.
+    """
+    return df.repartition(max(1, -(-df.count() // rows)))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors see: spark.checkpoint.dir, or a temporary one where that is unset and Spark runs in one process (tests)."""
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
