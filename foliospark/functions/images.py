@@ -16,15 +16,30 @@ MAX_BYTES, MAX_PIXELS, MAX_DECODED = 5_000_000, 20_000_000, 40_000_000
 CODES = ("unsupported_image", "corrupt_image", "unsafe_image")
 
 
+def orientation(segment: bytes) -> int:
+    """The orientation, 1 to 8, that an Exif segment gives; 1 if it gives none."""
+    if segment[:6] != b"Exif\0\0" or segment[6:8] not in (b"II", b"MM"):
+        return 1
+    tiff, order = segment[6:], "<" if segment[6:8] == b"II" else ">"
+    at = struct.unpack(order + "I", tiff[4:8])[0] if len(tiff) >= 8 else len(tiff)
+    entries = struct.unpack(order + "H", tiff[at : at + 2])[0] if at + 2 <= len(tiff) else 0
+    for k in range(entries):
+        entry = tiff[at + 2 + 12 * k : at + 14 + 12 * k]
+        if len(entry) == 12 and struct.unpack(order + "H", entry[:2])[0] == 0x0112:
+            value = struct.unpack(order + "H", entry[8:10])[0]
+            return value if 1 <= value <= 8 else 1
+    return 1
+
+
 def facts(data: bytes | None) -> tuple[str | None, int, int, int]:
-    """(format, width, height, frames) of a PNG, JPEG or WebP by its header; no format if it is none."""
+    """(format, width, height, frames) of a PNG, JPEG or WebP by its header, as it is shown; no format if it is none."""
     d = data or b""
     if d[:8] == b"\x89PNG\r\n\x1a\n" and d[12:16] == b"IHDR" and len(d) >= 24:
         w, h = struct.unpack(">II", d[16:24])
         at = d.find(b"acTL", 24)
         return "png", w, h, struct.unpack(">I", d[at + 4 : at + 8])[0] if at > 0 and len(d) >= at + 8 else 1
     if d[:2] == b"\xff\xd8":
-        i = 2
+        i, turned = 2, 1
         while i + 9 <= len(d):
             if d[i] != 0xFF:
                 i += 1
@@ -35,7 +50,9 @@ def facts(data: bytes | None) -> tuple[str | None, int, int, int]:
                 continue
             if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
                 h, w = struct.unpack(">HH", d[i + 5 : i + 9])
-                return "jpeg", w, h, 1
+                return ("jpeg", h, w, 1) if turned >= 5 else ("jpeg", w, h, 1)
+            if kind == 0xE1 and turned == 1:
+                turned = orientation(d[i + 4 : i + 2 + struct.unpack(">H", d[i + 2 : i + 4])[0]])
             i += 2 + struct.unpack(">H", d[i + 2 : i + 4])[0]
         return "jpeg", 0, 0, 1
     if d[:4] == b"RIFF" and d[8:12] == b"WEBP" and len(d) >= 30:

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import random
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from typing import Protocol
 
@@ -88,6 +89,11 @@ class SyntheticProvider:
         return Outcome(item.key, [b / 255 - 0.5 for b in raw[: self.dimensions]], model=self.model, usage={"input_tokens": item.tokens})
 
 
+def is_vector(values: object, dimensions: int) -> bool:
+    """Whether a response's vector is a list of so many finite numbers, none of them a truth value."""
+    return isinstance(values, list | tuple) and len(values) == dimensions and all(isinstance(x, int | float) and not isinstance(x, bool) and math.isfinite(x) for x in values)
+
+
 def settle(items: list[Item], outcomes: list[Outcome]) -> list[Outcome]:
     """One outcome per item: a missing answer can be retried, a doubled one is invalid; siblings are kept."""
     by: dict[str, list[Outcome]] = {}
@@ -127,7 +133,8 @@ class Stream:
                 numbers = self.pace.admit([sum(i.tokens for i in b) for b in wave]) if self.pace else [0] * len(wave)
                 for batch, number in zip(wave, numbers):
                     self.requests += 1
-                    found = settle(batch, self.provider.embed(batch))
+                    answers = [o if o.vector is None or is_vector(o.vector, self.provider.dimensions) else replace(o, vector=None, error_code="invalid_response") for o in self.provider.embed(batch)]
+                    found = settle(batch, answers)
                     if self.pace:
                         self.pace.observe(number, found[0].usage)
                         if any(o.throttled for o in found):

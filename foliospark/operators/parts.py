@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -21,6 +22,28 @@ def code_points(text: str) -> Offsets:
     return [(i, i + 1) for i in range(len(text))]
 
 
+@functools.lru_cache(maxsize=2)
+def _tokenizer(path: str, sha256: str):
+    from tokenizers import Tokenizer, processors
+
+    with open(path, "rb") as f:
+        if hashlib.file_digest(f, "sha256").hexdigest() != sha256:
+            raise ValueError("the tokenizer file is not the pinned one")
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True  # their strings in a text are ordinary text
+    t.post_processor = processors.ByteLevel(trim_offsets=False)  # offsets cover the text, spaces included
+    return t
+
+
+def _offsets(path: str, sha256: str, text: str) -> Offsets:
+    return _tokenizer(path, sha256).encode(text, add_special_tokens=False).offsets
+
+
+def pinned_tokenizer(path: str, sha256: str) -> Callable[[str], Offsets]:
+    """Token offsets by a tokenizer file whose content is pinned by its hash; each worker loads it once."""
+    return functools.partial(_offsets, path, sha256)
+
+
 def checked(text: str, offsets: Offsets) -> Offsets:
     """The offsets, if they rise and cover the text without a gap; else ValueError."""
     reach, before = 0, (-1, -1)

@@ -1,6 +1,7 @@
 """Ranking, manifest, store, archive, work, reconciliation and batching on small frames."""
 
 import os
+import struct
 from datetime import UTC, datetime, timedelta
 
 import pytest
@@ -102,6 +103,25 @@ def test_parts_are_lossless():
         parts.plan("", 3)
 
 
+def test_parts_by_a_pinned_tokenizer(spark):
+    import hashlib
+
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    digest = hashlib.sha256(open(path, "rb").read()).hexdigest()
+    tokens = parts.pinned_tokenizer(path, digest)
+    text = "Prices rose again, é and 😀 too.\n\n" * 6 + "unbroken" * 60 + "\r\n\r\n  Tail <|endoftext|> 価格"
+    assert parts.checked(text, tokens(text)) and len(tokens("<|endoftext|>")) > 1
+    for limit in (5, 16, 40):
+        spans = parts.plan(text, limit, tokens)
+        assert "".join(text[a:b] for a, b in spans) == text and all(0 < len(tokens(text[a:b])) <= limit for a, b in spans)
+    got = parts.plan_parts(spark.createDataFrame([(1, text), (2, "short"), (3, None)], "doc_id long, text string"), 40, tokens=tokens).collect()
+    assert [(r.char_start, r.char_end) for r in sorted(got, key=lambda r: r.part_index)] == parts.plan(text, 40, tokens) and {r.doc_id for r in got} == {1}
+    with pytest.raises(ValueError):
+        parts.pinned_tokenizer(path, "0" * 64)("x")
+
+
 WORK = "article_id string, modality string, configuration_id string, source_relative_path string, input_sha256 string, state string, attempt_count int, error_code string, status_code int, retry_after_seconds double, last_run_id string, generation_run_id string, updated_at timestamp"
 
 
@@ -178,6 +198,10 @@ def test_vectors_digests_images(spark):
     got = images.inspect(spark.createDataFrame([(bytearray(png),), (bytearray(jpg),), (bytearray(b"GIF"),), (None,)], "data binary"))
     rows = got.select("format", "width", "height", images.problem(F.col("format"), F.col("width"), F.col("height"), F.col("frames")).alias("p")).collect()
     assert [tuple(r) for r in rows] == [("png", 40, 30, None), ("jpeg", 40, 30, None), (None, 0, 0, "unsupported_image"), (None, 0, 0, "unsupported_image")]
+    for order in "<>":
+        exif = b"Exif\0\0" + (b"II" if order == "<" else b"MM") + struct.pack(order + "HIHHHIHHI", 42, 8, 1, 0x0112, 3, 1, 6, 0, 0)
+        turned = b"\xff\xd8\xff\xe1" + struct.pack(">H", len(exif) + 2) + exif + jpg[2:]
+        assert images.facts(turned) == ("jpeg", 30, 40, 1) and images.facts(turned.replace(b"Exif", b"Exit")) == ("jpeg", 40, 30, 1)
     for w, h in ((9000, 9000), (100_000, 300), (5000, 4000), (3, 40_000_000)):
         sw, sh = images.scaled(w, h)
         assert sw * sh <= images.MAX_PIXELS

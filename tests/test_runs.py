@@ -97,6 +97,13 @@ def test_outcomes_settle_and_pilot():
     items = [embed.Item(k, "h", k) for k in "abc"]
     outcomes = [embed.Outcome("a", [1.0]), embed.Outcome("b", [1.0]), embed.Outcome("b", [2.0])]
     assert [(o.error_code, o.retryable) for o in embed.settle(items, outcomes)] == [(None, False), ("invalid_response", False), ("missing_response_item", True)]
+    assert embed.is_vector([1, 2.5], 2) and not any(embed.is_vector(v, 2) for v in ([1.0], [1.0, True], [1.0, "2"], [1.0, float("nan")], "ab", None))
+
+    class Odd(embed.SyntheticProvider):
+        def embed(self, items):
+            return [embed.Outcome(i.key, [True] * 8) for i in items]
+
+    assert embed.Stream(Odd(8), batching.Policy()).run([embed.Item("a", "h", "x")])["a"][0].error_code == "invalid_response"
     assert embed.pilot(embed.SyntheticProvider(8), batching.Policy(), ["x"])["ready"]
     bad = embed.pilot(embed.SyntheticProvider(8, (("x", "authentication", False),)), batching.Policy(), ["x"])
     assert not bad["ready"] and bad["probe_errors"] == ["authentication"]
