@@ -112,6 +112,7 @@ class Stream:
     jitter: float = 0.0
     requests: int = 0
     waits: list[float] = field(default_factory=list)
+    booked: dict[str, list[int]] = field(default_factory=dict)  # by the first item of a batch: its reservations
 
     def run(self, items: list[Item]) -> dict[str, tuple[Outcome, int]]:
         """The last outcome of each item and the attempts it took."""
@@ -136,6 +137,7 @@ class Stream:
                     answers = [o if o.vector is None or is_vector(o.vector, self.provider.dimensions) else replace(o, vector=None, error_code="invalid_response") for o in self.provider.embed(batch)]
                     found = settle(batch, answers)
                     if self.pace:
+                        self.booked.setdefault(batch[0].key, []).append(number)
                         self.pace.observe(number, found[0].usage)
                         if any(o.throttled for o in found):
                             self.pace.throttle()
@@ -151,7 +153,7 @@ class Stream:
         return final
 
 
-OUTCOME = "key string, input_sha256 string, vector array<float>, error_code string, retryable boolean, attempts int, retry_after double, status_code int, model string, raw_response_sha256 string, usage string"
+OUTCOME = "key string, input_sha256 string, vector array<float>, error_code string, retryable boolean, attempts int, retry_after double, status_code int, model string, raw_response_sha256 string, usage string, booked array<struct<at:timestamp,estimated:int,observed:int>>"
 
 
 def call(items: DataFrame, provider: Provider, policy: batching.Policy = batching.Policy(), made: list[tuple[datetime, int]] = []) -> DataFrame:  # noqa: B006
@@ -170,8 +172,9 @@ def call(items: DataFrame, provider: Provider, policy: batching.Policy = batchin
         for pdf in batches:
             rows = [Item(*r) for r in zip(pdf["key"], pdf["input_sha256"], pdf["text"], pdf["kind"], pdf["tokens"])]
             final = stream.run(rows)
+            booked = lambda key: [dict(zip(("at", "estimated", "observed"), stream.pace.reserved[n])) for n in stream.booked.pop(key, [])]  # noqa: B023, E731
             yield pd.DataFrame(
-                [(i.key, i.input_sha256, o.vector, o.error_code, bool(o.retryable), k, o.retry_after, o.status, o.model, o.raw_sha256(), json.dumps(o.usage, sort_keys=True) if o.usage else None) for i in rows for o, k in [final[i.key]]],
+                [(i.key, i.input_sha256, o.vector, o.error_code, bool(o.retryable), k, o.retry_after, o.status, o.model, o.raw_sha256(), json.dumps(o.usage, sort_keys=True) if o.usage else None, booked(i.key)) for i in rows for o, k in [final[i.key]]],
                 columns=[c.split()[0] for c in OUTCOME.split(", ")],
             ).astype({"status_code": "Int32"})
 
@@ -190,7 +193,7 @@ def checked(outcomes: DataFrame, dimensions: int) -> DataFrame:
 SPAN = ("part_count", "char_start", "char_end", "byte_start", "byte_end", "token_count")
 
 
-def embed_texts(texts: DataFrame, provider: Provider, limit: int, policy: batching.Policy = batching.Policy(), known: DataFrame | None = None, attempt_limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+def embed_texts(texts: DataFrame, provider: Provider, limit: int, policy: batching.Policy = batching.Policy(), known: DataFrame | None = None, attempt_limit: int | None = None, made: list[tuple[datetime, int]] = []) -> tuple[DataFrame, DataFrame]:  # noqa: B006
     """(articles, parts) of texts (article_id, text): one vector per article, and the parts of texts beyond `limit`.
 
     A long text's vector is the normalised mean of its parts' vectors, weighted by their tokens and summed
@@ -215,7 +218,7 @@ def embed_texts(texts: DataFrame, provider: Provider, limit: int, policy: batchi
     units = stage(units, "units")
     spent = (F.col("k_attempts") >= attempt_limit) if attempt_limit is not None else F.lit(False)
     open_ = F.coalesce(~F.col("k_state").isin("succeeded", "terminal") & ~spent, F.lit(True))
-    done = checked(call(units.filter(open_).select("key", "input_sha256", "text", F.col("token_count").alias("tokens")), provider, policy), provider.dimensions).drop("input_sha256")
+    done = checked(call(units.filter(open_).select("key", "input_sha256", "text", F.col("token_count").alias("tokens")), provider, policy, made), provider.dimensions).drop("input_sha256")
     each = units.drop("text").join(done.withColumn("fresh", F.lit(True)), "key", "left")
     again = F.coalesce("retryable", F.lit(False)) & F.lit(True if attempt_limit is None else False)
     tries = (F.coalesce("k_attempts", F.lit(0)) + F.coalesce("attempts", F.lit(0))).cast("int")
@@ -224,7 +227,7 @@ def embed_texts(texts: DataFrame, provider: Provider, limit: int, policy: batchi
     state = F.when(F.col("vector").isNotNull() | (F.col("fresh").isNull() & (F.col("k_state") == "succeeded")), "succeeded").when(again, "retryable").otherwise("terminal")
     each = each.select(
         *key, *SPAN, "input_sha256", state.alias("state"), tries.alias("attempt_count"), F.coalesce("error_code", F.when(F.col("fresh").isNull() & (F.col("k_state") != "succeeded"), F.col("k_error"))).alias("error_code"), "status_code", F.col("retry_after").alias("retry_after_seconds"),
-        F.coalesce("vector", "k_vector").alias("vector"), F.coalesce("raw_response_sha256", "k_raw").alias("raw_response_sha256"), F.coalesce("model", "k_model").alias("response_model"), F.when(F.col("fresh").isNull(), F.col("k_run")).alias("earlier_run"), F.coalesce("attempts", F.lit(0)).alias("calls"), "usage",
+        F.coalesce("vector", "k_vector").alias("vector"), F.coalesce("raw_response_sha256", "k_raw").alias("raw_response_sha256"), F.coalesce("model", "k_model").alias("response_model"), F.when(F.col("fresh").isNull(), F.col("k_run")).alias("earlier_run"), F.coalesce("attempts", F.lit(0)).alias("calls"), "booked",
     )
     each = stage(each.withColumn("stored_vector_sha256", vec.vector_hash("vector")), "parts")
     mean = vec.ordered_mean(each.filter("state = 'succeeded'"), ["article_id"], "vector", "token_count", "part_index").select("article_id", vec.normalized(F.col("mean")).alias("mean"))
@@ -243,23 +246,24 @@ def embed_texts(texts: DataFrame, provider: Provider, limit: int, policy: batchi
         F.max(F.when(one & F.lit(not provider.synthetic), F.col("response_model"))).alias("response_model"),
         F.min("response_model").alias("least_model"),
         F.max("response_model").alias("most_model"),
+        F.flatten(F.collect_list("booked")).alias("booked"),
     )
     full = F.col("succeeded") == F.col("units")
     failed = lambda c: F.when(~full, F.col(c)).alias(c)
     j = whole.join(mean, "article_id", "left").select(
-        "article_id", F.when(full, "succeeded").when(F.col("terminal") > 0, "terminal").otherwise("retryable").alias("state"), F.when(full, F.col("mean")).alias("vector"), failed("error_code"), failed("status_code"), failed("retry_after_seconds"), "attempt_count", "calls", "derivation_kind", "raw_response_sha256", "response_model", "least_model", "most_model", "units",
+        "article_id", F.when(full, "succeeded").when(F.col("terminal") > 0, "terminal").otherwise("retryable").alias("state"), F.when(full, F.col("mean")).alias("vector"), failed("error_code"), failed("status_code"), failed("retry_after_seconds"), "attempt_count", "calls", "derivation_kind", "raw_response_sha256", "response_model", "least_model", "most_model", "units", "booked",
     )
     return j.withColumn("stored_vector_sha256", vec.vector_hash("vector")), each.filter("part_index >= 0")
 
 
-def embed_images(images: DataFrame, provider: Provider, policy: batching.Policy = batching.Policy()) -> DataFrame:
+def embed_images(images: DataFrame, provider: Provider, policy: batching.Policy = batching.Policy(), made: list[tuple[datetime, int]] = []) -> DataFrame:  # noqa: B006
     """A vector per image of (article_id, input_sha256, data, tokens); columns as of the articles of `embed_texts`."""
     units = images.select("article_id", F.col("article_id").alias("key"), "input_sha256", F.base64("data").alias("text"), F.lit("image").alias("kind"), "tokens")
-    done = checked(call(units, provider, policy), provider.dimensions)
+    done = checked(call(units, provider, policy, made), provider.dimensions)
     hosted = lambda c: (F.col(c) if not provider.synthetic else F.lit(None).cast("string"))
     return done.select(
         F.col("key").alias("article_id"), F.when(F.col("vector").isNotNull(), "succeeded").when(F.coalesce("retryable", F.lit(False)), "retryable").otherwise("terminal").alias("state"), "vector", "error_code", "status_code", F.col("retry_after").alias("retry_after_seconds"), F.col("attempts").alias("attempt_count"), F.col("attempts").alias("calls"),
-        F.lit("synthetic_fixture" if provider.synthetic else "hosted_response").alias("derivation_kind"), hosted("raw_response_sha256").alias("raw_response_sha256"), hosted("model").alias("response_model"), F.col("model").alias("least_model"), F.col("model").alias("most_model"), F.lit(1).alias("units"), vec.vector_hash("vector").alias("stored_vector_sha256"),
+        F.lit("synthetic_fixture" if provider.synthetic else "hosted_response").alias("derivation_kind"), hosted("raw_response_sha256").alias("raw_response_sha256"), hosted("model").alias("response_model"), F.col("model").alias("least_model"), F.col("model").alias("most_model"), F.lit(1).alias("units"), vec.vector_hash("vector").alias("stored_vector_sha256"), "booked",
     )
 
 

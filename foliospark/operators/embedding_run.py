@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from foliospark import schemas
 from foliospark.functions import images as img
-from foliospark.operators import batching, embed, reconcile
+from foliospark.operators import batching, embed, quota, reconcile
 from foliospark.operators import work as wk
 from foliospark.operators.embedding_validation import Catalogue
 from foliospark.sources import sinks
@@ -166,7 +166,7 @@ def run(store: Store, articles: DataFrame, provider: embed.Provider, conf: dict,
 def _work_off(store: Store, base: int, run_id: str, articles: DataFrame, provider: embed.Provider, conf: dict, files: DataFrame | None, limit: int | None, reprocess: bool, codec: Callable[[bytes], bytes] | None, rendition_root: str | None) -> tuple[dict[str, DataFrame], dict]:
     spark, cid, policy = store.spark, conf["configuration_id"], policy_of(conf)
     old = {t: store.read(t, base) for t in ("embedding_work", "embedding_storage", "generation_history", "full_run_articles", "multimodal_embedding_provenance", "image_input_provenance", "long_text_parts", "long_text_part_generations", "article_text_aggregation_provenance")}
-    work, vectors = old["embedding_work"], old["embedding_storage"]
+    work, vectors, reservations = old["embedding_work"], old["embedding_storage"], store.read("hosted_request_reservations", base)
     headers = "header_image_path" in articles.columns
     scope = articles.filter("article_id is not null and text is not null and text <> ''").select("article_id", "text", (F.col("header_image_path") if headers else F.lit(None).cast("string")).alias("header_image_path"), "published_at_utc", "publication_date_new_york")
     scope = stage(scope.orderBy("article_id").limit(limit) if limit is not None else scope, "inventory")
@@ -180,12 +180,16 @@ def _work_off(store: Store, base: int, run_id: str, articles: DataFrame, provide
     wanted = desired(scope, "article_text", none, F.sha2("text", 256), F.lit("present")).unionByName(desired(image, "header_image", F.col("header_image_path"), F.col("input_sha256"), F.col("applicability")))
     registered = stage(wk.register(wanted, work, vectors, reprocess), "registered")
     due = lambda modality: registered.filter((F.col("modality") == modality) & F.col("state").isin(tries)).select("article_id")
+    quota_of = reservations.filter(F.col("configuration_id") == cid).select("reserved_at", F.coalesce("observed_input_tokens", "estimated_tokens").alias("tokens"))
+    made_before = [] if provider.streams is None else quota.within_window(quota_of, datetime.now(UTC), policy)
     own_parts = old["long_text_parts"].filter(F.col("configuration_id") == cid)
     known = own_parts.filter("false") if reprocess else own_parts
-    texts, parts = embed.embed_texts(scope.join(due("article_text"), "article_id", "left_semi").select("article_id", "text"), provider, conf["context_token_limit"], policy, known, conf["long_text_part_attempt_limit"])
+    texts, parts = embed.embed_texts(scope.join(due("article_text"), "article_id", "left_semi").select("article_id", "text"), provider, conf["context_token_limit"], policy, known, conf["long_text_part_attempt_limit"], made_before)
     texts, parts = stage(texts, "texts"), stage(parts, "text-parts")
     todo = image.join(due("header_image"), "article_id", "left_semi").filter("applicability = 'present'")
-    pictures = stage(embed.embed_images(todo.filter("local_code is null"), provider, policy), "pictures")
+    booked_by = lambda df: df.select(F.explode("booked").alias("b")).select(F.col("b.at").alias("reserved_at"), F.col("b.estimated").alias("estimated_tokens"), F.col("b.observed").alias("observed_input_tokens"))
+    made_now = [] if provider.streams is None else quota.within_window(booked_by(texts).select("reserved_at", F.coalesce("observed_input_tokens", "estimated_tokens").alias("tokens")), datetime.now(UTC), policy)
+    pictures = stage(embed.embed_images(todo.filter("local_code is null"), provider, policy, made_before + made_now), "pictures")
     models = texts.agg(F.min("least_model").alias("a"), F.max("most_model").alias("b")).unionAll(pictures.agg(F.min("least_model"), F.max("most_model"))).collect()
     if seen := {m for r in models for m in r if m is not None} - {conf["observed_model"]}:
         raise ConfigurationDrift(f"configuration_drift: {sorted(seen)[0]}")
@@ -250,7 +254,10 @@ def _work_off(store: Store, base: int, run_id: str, articles: DataFrame, provide
     whole = tried.join(done.filter("modality = 'article_text' and derivation_kind = 'long_text_aggregate' and state = 'succeeded'").select("article_id"), "article_id", "left_semi")
     aggregated = _as(whole, "article_text_aggregation_provenance", **mark, part_generation_run_id=F.coalesce("earlier_run", F.lit(run_id)), part_stored_vector_sha256=F.col("stored_vector_sha256"), aggregation_version=conf["long_text_aggregation"])
     part_key = ["article_id", "configuration_id", "article_input_sha256", "part_index"]
+    requests = booked_by(texts).unionByName(booked_by(pictures)).withColumn("reservation_id", F.concat(F.lit(run_id + "-"), F.monotonically_increasing_id()))
+    booked = stage(_as(requests, "hosted_request_reservations", run_id=run_id, configuration_id=cid), "reservations")
     changed = {
+        "hosted_request_reservations": reservations.filter(F.col("configuration_id") != cid).unionByName(quota.live(reservations.filter(F.col("configuration_id") == cid), F.current_timestamp(), policy)).unionByName(booked),  # older ones bind nobody
         "multimodal_embedding_provenance": old["multimodal_embedding_provenance"].unionByName(_as(told, "multimodal_embedding_provenance", **mark, formula_version=conf["multimodal_formula"])),
         "image_input_provenance": old["image_input_provenance"].unionByName(_as(pictured, "image_input_provenance", **mark, rendition_relative_path=rendition)),
         "long_text_parts": upsert(old["long_text_parts"].join(checkpoints.select("article_id", "configuration_id").distinct(), ["article_id", "configuration_id"], "left_anti").select(*old["long_text_parts"].columns), checkpoints, part_key),
@@ -275,7 +282,7 @@ def _work_off(store: Store, base: int, run_id: str, articles: DataFrame, provide
     calls = done.agg(F.coalesce(F.sum("units"), F.lit(0)).alias("units"), F.coalesce(F.sum("calls"), F.lit(0)).alias("calls")).first()
     numbers = {
         "articles": scope.count(), "embeddings": fresh.count() + new_composites.count(), "reused": registered.filter("action = 'reuse'").count() + joined.filter("action = 'reuse'").count(), "attempted": done.filter("attempt_count > 0").count(), "succeeded": total("succeeded"), "retryable": total("retryable"), "terminal": total("terminal"),
-        "interrupted": 0, "header_absent": headers_now.get("not_applicable", 0), "header_failed": headers_now.get("retryable", 0) + headers_now.get("terminal", 0), "hosted_requests": 0 if provider.synthetic else int(calls["calls"]), "hosted_retries": 0 if provider.synthetic else int(max(0, calls["calls"] - calls["units"])), "retired": retired, "composites": new_composites.count(),
+        "interrupted": 0, "header_absent": headers_now.get("not_applicable", 0), "header_failed": headers_now.get("retryable", 0) + headers_now.get("terminal", 0), "hosted_requests": booked.count() if provider.streams is not None else 0 if provider.synthetic else int(calls["calls"]), "hosted_retries": 0 if provider.synthetic else int(max(0, calls["calls"] - calls["units"])), "retired": retired, "composites": new_composites.count(),
         **{r.action: r["count"] for r in registered.groupBy("action").count().collect() if r.action != "reuse"},
     }
     tables = {"embedding_work": new_work, "embedding_storage": new_vectors, "generation_history": history}

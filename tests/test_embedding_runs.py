@@ -61,6 +61,8 @@ def test_gates_and_the_life_of_a_run(spark, tmp_path):
     assert (done["hosted_requests"], done["hosted_retries"]) == (1, 0)
     v = store.read("embedding_storage").first()
     assert v.derivation_kind == "hosted_response" and v.response_model == "m" and len(v.raw_response_sha256) == 64
+    r = store.read("hosted_request_reservations").collect()
+    assert [(x.run_id, x.estimated_tokens, x.observed_input_tokens) for x in r] == [(done["run_id"], 4, 4)]
     assert codes(embedding_run.catalogue(store), arts) == {}
     with pytest.raises(embedding_run.ConfigurationDrift):
         embedding_run.run(store, articles(spark, ("a", "other")), embed.SyntheticProvider(8, synthetic=False, streams=1, model="m2"), conf, authorized=True)
