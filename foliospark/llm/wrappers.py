@@ -17,8 +17,9 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -36,19 +37,21 @@ NEARLY = 0.1
 FEW, PRIOR = 8, 0.5
 #: A word or class is part of a node from this share of its pages on; it is on two pages at least.
 CONSTANT_WORD, CONSTANT_CLASS = 0.04, 0.004
-#: Words and classes that a node keeps count of, and the text hashes of its distinct-count sketch.
-KEPT, SKETCH = 400, 256
+#: Text hashes of a node's distinct-count sketch.
+SKETCH = 256
 #: A body slot has at least this share of the mean unlinked text of the slot with most of it, at most this share of
 #: linked text, and at least this share of blocks whose text is no repetition. Copies of an article count once.
 BODY_SHARE, BODY_LINKED, BODY_NEW = 0.12, 0.35, 0.6
 #: For these means a region counts as at most so many times the length that this share of the regions does not exceed.
 LONG, LONGER = 3.0, 0.9
 #: A text token is a constant from this many articles on, and this share of a part's pages; of a region in a body slot at least this share of tokens are slots.
-LEAST_PAGES, CONSTANT_TEXT, SLOTS, CONSTANTS = 3, 0.004, 0.5, 4096
+LEAST_PAGES, CONSTANT_TEXT, SLOTS = 3, 0.004, 0.5
 #: Body slots that share so much of the rarer one's pages, of the other one's pages, and so many pages, hold one article together.
 TOGETHER, OFTEN, SEVERAL = 0.7, 0.25, 12
-#: Pages of a host that one task aligns, parts of wrappers that one task merges, and nodes that a wrapper keeps at least when it grows to twice as many.
+#: Pages of a host that one task aligns, parts of wrappers that one task merges, and half of the nodes whose features stand in a matrix; those of the others are listed.
 PAGES_A_TASK, MERGED, NODES = 4096, 64, 512
+#: Likeness values computed at once, and the steps of a feature's weight, so that sums are the same in any order.
+CELLS, STEPS = 1 << 22, 1024
 
 
 @dataclass
@@ -67,19 +70,22 @@ class Node:
     once: dict[int, tuple[int, int]] = field(default_factory=dict)
     optional: bool = False
     repeated: bool = False
-    common: tuple = (0, frozenset(), frozenset())
+    common: tuple = (0, frozenset(), frozenset(), {})
     column: int = -1
 
     def known(self) -> tuple[frozenset, frozenset]:
-        """The constant classes and words, renewed as the node grows."""
-        seen, c, w = self.common
+        """The constant classes and words, renewed as the node grows, together with the shares of its shapes."""
+        seen, c, w, _ = self.common
         if self.pages > seen * 1.2:
-            least = 2 if self.pages > 2 else 1
-            c = frozenset(k for k, n in self.classes.items() if n >= max(least, CONSTANT_CLASS * self.pages))
-            w = frozenset(k for k, n in self.words.items() if n >= max(least, CONSTANT_WORD * self.pages))
-            self.common = (self.pages, c, w)
+            c, w = map(frozenset, self.constants())
+            self.common = (self.pages, c, w, {f: n / self.pages for f, n in self.shapes.items()})
         return c, w
 
+    def constants(self) -> tuple[dict[str, int], dict[str, int]]:
+        """The classes and words that are constant by now, with their counts."""
+        least = 2 if self.pages > 2 else 1
+        return tuple({k: n for k, n in f.items() if n >= max(least, share * self.pages)} for f, share in ((self.classes, CONSTANT_CLASS), (self.words, CONSTANT_WORD)))
+
     def new_share(self) -> float:
         """The estimated share of blocks whose text is not a repetition, from the least hashes."""
         return min(1.0, _distinct(self.least) / self.blocks) if self.blocks else 0.0
@@ -156,55 +162,122 @@ class Item:
 
 
 class Index:
-    """The constants of a wrapper's nodes as matrices (feature, node), so that an item meets all nodes at once."""
+    """The constants of a wrapper's nodes, so that an item meets all nodes at once.
+
+    Up to 2 * NODES nodes are columns of a matrix (feature, node); beyond that, the most frequent are, and
+    the others are listed by feature. Likeness is the same either way, and no node is left out.
+    """
 
-    def __init__(self, nodes: list[Node]) -> None:
+    def __init__(self, nodes: list[Node], forget: bool = False) -> None:
+        self.forget = forget  # a feature that no node has any more is a strange one again
         self.ids: dict[str, int] = {"": 0}
-        self.table = np.zeros((256, 16), np.float32)
-        self.seen: list[int] = []
-        self.columns: list[int] = []
+        self.top = 1
+        self.counts = np.zeros(256, np.float32)
+        self.rows = np.zeros(256, np.int64)
+        self.wide, self.grouped = 2 * NODES, NODES
+        self.columns = self.codes = np.zeros(0, np.int64)
         self.telling: np.ndarray | None = None
-        self.sync(nodes)
+        self._clear()
+        self.sync(nodes, nodes)
+
+    def _clear(self) -> None:
+        self.table = np.zeros((256, 16), np.float32)
+        self.used, self.dense, self.rest = 1, 0, 0
+        self.seen: dict[int, int] = {}
+        self.own: dict[int, list[str]] = {}
+        self.lists: dict[int, list[int]] = {}
+        self.shapes: dict[str, np.ndarray] = {}
+        self.ordered: dict[str, np.ndarray] = {}
+        self.counts[:] = 0
+        self.rows[:] = 0
 
     def _id(self, feature: str) -> int:
-        k = self.ids.setdefault(feature, len(self.ids))
-        if k >= len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        k = self.ids.get(feature)
+        if k is None:
+            k = self.ids[feature] = self.top
+            self.top += 1
+            if k >= len(self.counts):
+                self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         return k
 
-    def sync(self, nodes: list[Node]) -> None:
-        """Take in new nodes and renewed constants."""
-        for n in nodes:
+    def _row(self, k: int) -> int:
+        if not self.rows[k]:
+            self.rows[k] = self.used
+            self.used += 1
+            if self.used > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        return self.rows[k]
+
+    def sync(self, nodes: list[Node], changed: list[Node]) -> None:
+        """Take in new nodes and renewed constants; `nodes` are all of them in order."""
+        most = self.wide
+        if len(nodes) > 2 * self.grouped:
+            most, self.grouped = NODES, len(nodes)
+            self._clear()
+            for n in nodes:
+                n.column = -1
+            changed = sorted(nodes, key=lambda n: -n.pages)
+        for n in changed:
             if n.column < 0:
-                n.column = len(self.seen)
-                self.seen.append(-1)
-                if n.column >= self.table.shape[1]:
-                    self.table = np.concatenate([self.table, np.zeros_like(self.table)], 1)
+                if self.dense < most:
+                    n.column = self.dense
+                    self.dense += 1
+                    if self.dense > self.table.shape[1]:
+                        self.table = np.concatenate([self.table, np.zeros_like(self.table)], 1)
+                else:
+                    n.column = self.wide + self.rest
+                    self.rest += 1
             self.refresh(n)
-        self.columns = np.array([n.column for n in nodes], np.int64)
+        self.codes = np.array([n.column for n in nodes], np.int64)
+        self.columns = np.where(self.codes < self.wide, self.codes, self.codes - self.wide + self.dense)
         self.telling = None
 
     def refresh(self, n: Node) -> None:
         classes, words = n.known()
-        if self.seen[n.column] == n.common[0]:
+        c = n.column
+        if self.seen.get(c) == n.common[0]:
             return
-        self.seen[n.column], self.telling = n.common[0], None
-        self.table[:, n.column] = 0
-        constants = [self._id("c" + f) for f in classes] + [self._id("w" + f) for f in words]
-        shapes = [(self._id("s" + k), count / n.pages) for k, count in n.shapes.items()]
-        self.table[constants, n.column] = 1
-        for k, share in shapes:
-            self.table[k, n.column] = share
+        self.seen[c], self.telling = n.common[0], None
+        for f in self.own.get(c, ()):
+            k = self.ids[f]
+            self.counts[k] -= 1
+            if c < self.wide:
+                self.table[self.rows[k], c] = 0
+            else:
+                self.lists[k].remove(c - self.wide)
+            if self.forget and not self.counts[k]:
+                del self.ids[f]
+        self.own[c] = ["c" + f for f in classes] + ["w" + f for f in words]
+        for f in self.own[c]:
+            k = self._id(f)
+            self.counts[k] += 1
+            if c < self.wide:
+                row = self._row(k)
+                self.table[row, c] = 1
+            else:
+                self.lists.setdefault(k, []).append(c - self.wide)
+        for f in {*self.shapes, *n.common[3]}:
+            shares = self.shapes.get(f)
+            if shares is None or c >= len(shares):
+                shares = self.shapes[f] = np.concatenate([np.zeros(0, np.float32) if shares is None else shares, np.zeros(c + 16, np.float32)])
+            shares[c] = n.common[3].get(f, 0)
+
+    def batches(self, items: list[Item]) -> Iterator[np.ndarray]:
+        """`likeness` of some items after the other, so that it stays small."""
+        size = max(1, CELLS // max(1, len(self.codes)))
+        for i in range(0, len(items), size):
+            yield self.likeness(items[i : i + size])
 
     def likeness(self, items: list[Item]) -> np.ndarray:
         """How well each item fits each node, from 0 to 1."""
-        known = self.table[: len(self.ids)]
         if self.telling is None:
             # A feature that most nodes have tells little, such as class names that sites hand out at random.
-            self.telling = 1 - (known > 0).sum(1, dtype=np.float32) / max(FEW, len(self.columns))
+            self.telling = np.round((1 - self.counts / max(FEW, len(self.codes))) * STEPS) / STEPS
             self.telling[0] = 0
+            self.ordered = {f: np.where(self.codes < len(x), x[np.minimum(self.codes, len(x) - 1)], np.float32(0)) for f, x in self.shapes.items()}
         get = self.ids.get
-        out = np.zeros((len(items), known.shape[1]), np.float32)
+        out = np.zeros((len(items), self.dense + self.rest), np.float32)
         for prefix, weight, unknown in (("c", CLASSES, 1.0), ("w", WORDS, 0.3)):
             flat, starts, strange = [], [], []
             for i in items:
@@ -214,17 +287,25 @@ class Index:
                 flat += [k for f in features if (k := get(prefix + f)) is not None]
                 strange.append(len(features) - (len(flat) - starts[-1] - 1))
             tells = self.telling[flat]
-            hits = np.add.reduceat(known[flat] * tells[:, None], starts, axis=0)
+            hits = np.add.reduceat(self.table[self.rows[flat], : self.dense] * tells[:, None], starts, axis=0)
+            if self.rest:
+                listed = np.zeros((len(items), self.rest), np.float32)
+                for row, start, end in zip(listed, starts, [*starts[1:], len(flat)]):
+                    for k, tell in zip(flat[start:end], tells[start:end]):
+                        if found := self.lists.get(k):
+                            row[found] += tell
+                hits = np.concatenate([hits, listed], 1)
             total = np.add.reduceat(tells, starts) + np.array(strange, np.float32) * unknown
             out += weight * (hits + PRIOR * 0.5) / (total + PRIOR)[:, None]
+        out = out[:, self.columns]
         for row, i in zip(out, items):
-            shapes = sum(np.minimum(x, known[k]) for f, x in i.shapes.items() if (k := get("s" + f)) is not None)
+            shapes = sum(np.minimum(x, self.ordered[f]) for f, x in i.shapes.items() if f in self.ordered)
             row += SHAPE * np.minimum(1, (3 if len(i.shapes) == 1 else 1.2) * shapes)
-        return out[:, self.columns]
+        return out
 
 
 def absorb(node: Node, item: Item) -> None:
-    """Merge an item into the node; counters stay bounded, the most frequent entries are kept."""
+    """Merge an item into the node; every word and class stays counted, since a rare one may become a constant later."""
     o = item.source
     if isinstance(o, Node):
         node.pages += o.pages
@@ -243,9 +324,6 @@ def absorb(node: Node, item: Item) -> None:
     node.linked += o.linked
     for counter, more in mine:
         counter.update(more)
-        if len(counter) > 3 * KEPT:
-            for k, _ in counter.most_common()[KEPT:]:
-                del counter[k]
     if new and (len(node.least) < SKETCH or new[0] < node.least[-1]):
         node.least = sorted({*node.least, *new})[:SKETCH]
     node.once.update(once)
@@ -253,35 +331,47 @@ def absorb(node: Node, item: Item) -> None:
         node.once = {k: node.once[k] for k in sorted(node.once)[:SKETCH]}
 
 
-def align(like: np.ndarray) -> list[int]:
+def align(batches: Iterable[np.ndarray]) -> list[int]:
     """For each item the node it fits, in order, such that the likeness adds up to most.
 
-    What is left over may repeat a node out of order: -2 - node. -1 where nothing fits. Only pairs that
-    are alike enough are chained, so the work follows their number.
+    `batches` are the rows of the likeness. What is left over may repeat a node out of order: -2 - node.
+    -1 where nothing fits. Only pairs that are alike enough are chained, through a tree of the best
+    chain up to each node, so the work follows their number.
     """
-    n, m = like.shape
-    rows, cols = np.nonzero(like >= LIKE)
-    gains = (like[rows, cols] - LIKE + 1e-3).tolist()
-    pairs = list(zip(rows.tolist(), cols.tolist(), gains))
+    out: list[int] = []
+    rows, cols, gains = [], [], []
+    for like in batches:
+        i, j = np.nonzero(like >= LIKE)
+        rows += (i + len(out)).tolist()
+        cols += j.tolist()
+        gains += (like[i, j] - LIKE + 1e-3).tolist()
+        most = like.argmax(1).tolist() if like.shape[1] else []
+        fit = set(i.tolist())
+        out += [-2 - most[k] if k in fit else -1 for k in range(len(like))]
+    places = {j: p for p, j in enumerate(sorted(set(cols)), 1)}
+    tree = [(0.0, 1)] * (len(places) + 1)  # best sum, and 1 or minus the pair it ends with: among equals the first pair
     best: list[float] = []
     back: list[int] = []
-    for k, (i, j, gain) in enumerate(pairs):
-        top, at = 0.0, -1
-        for q in range(k):
-            if best[q] > top and pairs[q][0] < i and pairs[q][1] < j:
-                top, at = best[q], q
-        best.append(top + gain)
-        back.append(at)
-    out = [-1] * n
+    done = 0
+    for k, (i, j, gain) in enumerate(zip(rows, cols, gains)):
+        while rows[done] < i:  # pairs of one item do not follow each other
+            mine, p = (best[done], -done), places[cols[done]]
+            while p < len(tree):
+                if mine > tree[p]:
+                    tree[p] = mine
+                p += p & -p
+            done += 1
+        top, p = tree[0], places[j] - 1
+        while p:
+            if tree[p] > top:
+                top = tree[p]
+            p &= p - 1
+        best.append(top[0] + gain)
+        back.append(-top[1])
     k = max(range(len(best)), key=best.__getitem__) if best else -1
     while k >= 0:
-        out[pairs[k][0]] = pairs[k][1]
+        out[rows[k]] = cols[k]
         k = back[k]
-    for i in range(n):
-        if out[i] < 0 and m:
-            j = int(like[i].argmax())
-            if like[i, j] >= LIKE:
-                out[i] = -2 - j
     return out
 
 
@@ -293,12 +383,17 @@ class Wrapper:
     """
 
     def __init__(self, nodes: list[Node] | None = None, constants: set[int] | None = None) -> None:
-        self.nodes = nodes or []
-        self.index = Index(self.nodes)
+        self.whole = nodes or []
+        self.index = Index(self.whole)
         self.constants = constants or set()
         self.pages = 0
         self.texts: dict[int, tuple[int, int]] = {}
 
+    @property
+    def nodes(self) -> list[Node]:
+        """The nodes whose features stand in the index's matrix: all of them, or the most frequent of many."""
+        return [n for n in self.whole if n.column < self.index.wide]
+
     def note(self, stream: list[Region], article: int) -> None:
         """Count the text tokens of a page; copies of an article count once."""
         self.pages += 1
@@ -311,8 +406,7 @@ class Wrapper:
     def settle(self) -> None:
         """Tell constants from slots, once all pages of a part are in; what is no constant is forgotten."""
         least = max(LEAST_PAGES, CONSTANT_TEXT * self.pages)
-        found = sorted((-n, t) for t, (n, _) in self.texts.items() if n >= least)
-        self.constants = {t for _, t in found[:CONSTANTS]}
+        self.constants = {t for t, (n, _) in self.texts.items() if n >= least}
         self.texts = {}
 
     def slots(self, r: Region) -> int:
@@ -325,51 +419,58 @@ class Wrapper:
         if stream and isinstance(stream[0], Region):
             self.note(stream, article)
         items = [Item(x, article) for x in stream]
-        if not self.nodes:
-            self.nodes = [i.node() for i in items]
-            for n in self.nodes:
+        if not self.whole:
+            self.whole = [i.node() for i in items]
+            for n in self.whole:
                 n.column = -1
-            self.index.sync(self.nodes)
+            self.index.sync(self.whole, self.whole)
             return
-        fits = align(self.index.likeness(items))
+        fits = align(self.index.batches(items))
         matched = {f for f in fits if f >= 0}
-        for j, node in enumerate(self.nodes):
+        for j, node in enumerate(self.whole):
             if j not in matched:
                 node.optional = True
         at, inserted = 0, []
+        twins = Index([], forget=True)
         for item, f in zip(items, fits):
             if f >= 0:
-                absorb(self.nodes[f], item)
+                absorb(self.whole[f], item)
                 at = f + 1
             elif f < -1:
-                self.nodes[-2 - f].repeated = True
-                absorb(self.nodes[-2 - f], item)
+                self.whole[-2 - f].repeated = True
+                absorb(self.whole[-2 - f], item)
             else:
                 node = item.node()
                 node.optional, node.column = True, -1
-                twins = Index([x for _, x in inserted]) if inserted else None
-                scores = twins.likeness([item])[0] if twins else np.zeros(1)
-                for _, x in inserted:
-                    x.column = -1
+                scores = twins.likeness([item])[0] if inserted else np.zeros(1)
                 if scores.max() >= LIKE:
                     twin = inserted[int(scores.argmax())][1]
                     twin.repeated = True
                     absorb(twin, item)
+                    twins.refresh(twin)
                 else:
                     inserted.append((at, node))
-        for p, node in reversed(inserted):
-            self.nodes.insert(p, node)
+                    twins.sync([x for _, x in inserted], [node])
+        changed = [self.whole[f if f >= 0 else -2 - f] for f in fits if f != -1]
         if inserted:
-            self.index.sync(self.nodes)
-            self.prune()
+            for _, node in inserted:
+                node.column = -1
+            grown, k = [], 0
+            for j in range(len(self.whole) + 1):
+                while k < len(inserted) and inserted[k][0] <= j:
+                    grown.append(inserted[k][1])
+                    k += 1
+                grown += self.whole[j : j + 1]
+            self.whole = grown
+            self.index.sync(self.whole, changed + [node for _, node in inserted])
         else:
-            for f in fits:
-                self.index.refresh(self.nodes[f if f >= 0 else -2 - f])
+            for node in changed:
+                self.index.refresh(node)
 
     def bodies(self) -> tuple[set[int], float]:
         """The nodes that hold main content, and the unlinked text that a page's region needs at least: none."""
-        fit = [n.linked <= BODY_LINKED * max(1, n.own + n.linked) and n.new_once() >= BODY_NEW for n in self.nodes]
-        sizes = [n.sizes() for n in self.nodes]
+        fit = [n.linked <= BODY_LINKED * max(1, n.own + n.linked) and n.new_once() >= BODY_NEW for n in self.whole]
+        sizes = [n.sizes() for n in self.whole]
         pooled = sorted((x, each) for (own, each), good in zip(sizes, fit) if good for x in own)
         if not pooled:
             return set(), 0.0
@@ -385,17 +486,23 @@ class Wrapper:
         A region fills a body slot if the alignment put it there, or if no other node is clearly more
         like it: regions may stand out of order, and the alignment must leave some of those out.
         """
-        like = self.index.likeness([Item(r) for r in regions])
-        inside = np.zeros(len(self.nodes), bool)
+        inside = np.zeros(len(self.whole), bool)
         inside[list(bodies)] = True
         if not inside.any():
             return []
-        body = like[:, inside].max(1)
-        rest = like[:, ~inside].max(1) if not inside.all() else np.zeros(len(regions))
-        new = np.array([n.new_share() if i in bodies else 0.0 for i, n in enumerate(self.nodes)])
-        slots = np.where(inside, like, -1).argmax(1)
+        body, rest, slots = [], [], []
+
+        def seen() -> Iterator[np.ndarray]:
+            for like in self.index.batches([Item(r) for r in regions]):
+                body.extend(like[:, inside].max(1))
+                rest.extend(like[:, ~inside].max(1) if not inside.all() else np.zeros(len(like)))
+                slots.extend(np.where(inside, like, -1).argmax(1))
+                yield like
+
+        fits = align(seen())
+        new = {i: self.whole[i].new_share() for i in bodies}
         found = []
-        for r, b, x, f, k in zip(regions, body, rest, align(like), slots):
+        for r, b, x, f, k in zip(regions, body, rest, fits, slots):
             aligned = f != -1 and (f if f >= 0 else -2 - f) in bodies
             if r.own >= least and self.slots(r) >= SLOTS * len(r.texts) and b >= LIKE and b >= x - (NEARLY if aligned else 0.0):
                 slot = (f if f >= 0 else -2 - f) if aligned else int(k)
@@ -407,22 +514,15 @@ class Wrapper:
         found = self.body_regions(regions, bodies, least)
         return found[0][2] if found else None
 
-    def prune(self) -> None:
-        """Keep the nodes that most pages have, so that a wrapper's size is bounded."""
-        if len(self.nodes) > 2 * NODES:
-            kept = sorted(range(len(self.nodes)), key=lambda i: (-self.nodes[i].pages, i))[:NODES]
-            self.nodes = [self.nodes[i] for i in sorted(kept)]
-            for n in self.nodes:
-                n.column = -1
-            self.index = Index(self.nodes)
-
     def expression(self) -> str:
         """The wrapper as a readable regular expression."""
         one = lambda n: "<" + n.tags.most_common(1)[0][0] + " " + " ".join(sorted(n.known()[1])[:6]) + ">"
-        return " ".join(f"({one(n)}){'*' if n.optional and n.repeated else '+' if n.repeated else '?' if n.optional else ''}" for n in self.nodes)
+        return " ".join(f"({one(n)}){'*' if n.optional and n.repeated else '+' if n.repeated else '?' if n.optional else ''}" for n in self.whole)
 
-    def packed(self) -> str:
-        return json.dumps([sorted(self.constants), [[n.pages, n.tags, n.classes, n.words, n.shapes, n.blocks, n.own, n.linked, n.least, list(n.once.items()), n.optional, n.repeated] for n in self.nodes]])
+    def packed(self, finished: bool = False) -> str:
+        """The wrapper as text; of a finished one, which takes in no more, without the words and classes that are no constants."""
+        counts = [n.constants() if finished else (n.classes, n.words) for n in self.whole]
+        return json.dumps([sorted(self.constants), [[n.pages, n.tags, c, w, n.shapes, n.blocks, n.own, n.linked, n.least, list(n.once.items()), n.optional, n.repeated] for n, (c, w) in zip(self.whole, counts)]])
 
     @classmethod
     def of(cls, packed: str) -> Wrapper:
@@ -466,20 +566,21 @@ def infer(spread: DataFrame, parts: int) -> DataFrame:
         for packed in pdf.sort_values("path")["regions"]:
             wrapper.fold([Region.of(p) for p in json.loads(packed)])
         wrapper.settle()
-        return pd.DataFrame({"key": [pdf["key"].iloc[0]], "part": [pdf["part"].iloc[0]], "wrapper": [wrapper.packed()]})
+        return pd.DataFrame({"key": [pdf["key"].iloc[0]], "part": [pdf["part"].iloc[0]], "wrapper": [wrapper.packed(finished=alone)]})
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    def merge(pdf: pd.DataFrame, finished: bool) -> pd.DataFrame:
         whole = Wrapper()
         for packed in sorted(pdf["wrapper"], key=lambda w: (-len(w), w)):
             part = Wrapper.of(packed)
-            whole.fold(part.nodes)
+            whole.fold(part.whole)
             whole.constants |= part.constants
-        return pd.DataFrame({"key": [pdf["key"].iloc[0]], "part": [pdf["part"].iloc[0]], "wrapper": [whole.packed()]})
+        return pd.DataFrame({"key": [pdf["key"].iloc[0]], "part": [pdf["part"].iloc[0]], "wrapper": [whole.packed(finished)]})
 
+    alone = parts == 1
     found = spread.groupBy("key", "part").applyInPandas(fold, "key string, part int, wrapper string")
     while parts > 1:
         parts = -(-parts // MERGED)
-        found = found.withColumn("part", F.floor(F.col("part") / MERGED).cast("int")).groupBy("key", "part").applyInPandas(merge, "key string, part int, wrapper string")
+        found = found.withColumn("part", F.floor(F.col("part") / MERGED).cast("int")).groupBy("key", "part").applyInPandas(partial(merge, finished=parts == 1), "key string, part int, wrapper string")
     return found.select("key", "wrapper")
 
 

@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from foliospark.llm import wrappers as wr
 from foliospark.llm.pages import blocks_of, regions_of
 
@@ -192,3 +194,125 @@ def test_text_tokens_are_constants_or_slots():
     copied.settle()
     story = next(r for r in regions_of(page(0)[0])[1] if "story" in r.classes)
     assert copied.slots(story) == len(story.texts)  # copies of one article make no constants
+
+
+def layout(i, seed):
+    """A page of one of many layouts: menu and footer are those of the host, the other containers the layout's own."""
+    r = random.Random(seed * 1000 + i)
+    say = lambda n: " ".join(r.choice("bdfgklmnprst") + r.choice("aeiou") + r.choice("bdfgklmnprst") for _ in range(n))
+    blocks = [("h1", say(6)), ("h2", say(9)), *[("p", say(r.randint(12, 60))) for _ in range(r.randint(2, 6))]]
+    story = "".join(f'<{t} class="{t}{i}" data-n={10 + k}>{x}</{t}>' for k, (t, x) in enumerate(blocks))
+    return (
+        "<nav class=menu>" + "".join(f'<span data-n={k}><a href="https://h.example/x">{x}</a></span>' for k, x in enumerate(("Home", "World", "Sport"))) + "</nav>"
+        f'<div class="story{i} a{i} b{i}">{story}</div>'
+        f'<aside class="more{i} c{i} d{i}"><h3 class=e{i} data-n=40>more{i} next{i}</h3><p class=f{i} data-n=41><a href="/s">{say(7)}</a></p></aside>'
+        "<footer class=foot><p data-n=50>All rights reserved.<p data-n=51>Reprints: write to the desk.</footer>"
+    ), [10 + k for k in range(len(blocks))]
+
+
+def contents(w):
+    return [(n.pages, n.tags, n.classes, n.words, n.shapes, n.blocks, n.own, n.linked, n.least, n.once, n.optional, n.repeated) for n in w.whole]
+
+
+def test_nodes_beyond_the_matrix_are_kept_and_found(monkeypatch):
+    pages = [layout(i, s) for s in range(4) for i in range(60)]
+    streams = [regions_of(html)[1] for html, _ in pages]
+    wrappers = []
+    for most in (512, 10, 3):
+        monkeypatch.setattr(wr, "NODES", most)
+        w = wr.Wrapper()
+        for regions in streams:
+            w.fold(regions)
+        w.settle()
+        wrappers.append(w)
+        assert len(w.nodes) <= 2 * most < len(w.whole) or most == 512
+        assert sum(n.pages for n in w.whole) == sum(map(len, streams))
+        again = wr.Wrapper.of(w.packed())
+        bodies, least = again.bodies()
+        found = [again.body_regions(regions, bodies, least) for regions in streams]
+        assert all(f and f[0][2].blocks == body for f, (_, body) in zip(found, pages))
+    assert contents(wrappers[0]) == contents(wrappers[1]) == contents(wrappers[2])
+
+
+def test_nodes_beyond_the_matrix_merge(monkeypatch):
+    pages = [layout(i, s) for s in range(2) for i in range(60)]
+    merged = []
+    for most in (512, 5):
+        monkeypatch.setattr(wr, "NODES", most)
+        whole = wr.Wrapper()
+        for part in (pages[:40], pages[40:80], pages[80:]):
+            w = wr.Wrapper()
+            for html, _ in part:
+                w.fold(regions_of(html)[1])
+            whole.fold(wr.Wrapper.of(w.packed()).whole)
+        merged.append(whole)
+        assert sum(n.pages for n in whole.whole) == sum(len(regions_of(html)[1]) for html, _ in pages)
+    assert contents(merged[0]) == contents(merged[1])
+
+
+def test_every_word_and_class_is_counted():
+    r = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(r.choice(letters) for _ in range(9))
+    regions = []
+    for k in range(300):
+        words = [word() for _ in range(20)] + ["seldom"] * (k % 20 == 0)
+        regions.append(wr.Region("div", {f"css{k}x{j}" for j in range(10)} | {"story"}, "p", set(words), [1], [k], 500, 0, 1))
+    node = wr.node_of(regions[0])
+    for x in regions[1:]:
+        wr.absorb(node, wr.Item(x))
+    assert node.words == wr.Counter(w for x in regions for w in x.words)
+    assert node.classes == wr.Counter(c for x in regions for c in x.classes)
+    assert "seldom" in node.known()[1]  # on 5 % of the pages, never among the most frequent while they were trimmed
+
+
+def test_every_constant_text_is_kept():
+    texts = list(range(1, 6001))
+    w = wr.Wrapper()
+    for k in range(5):
+        own = wr.Region("div", {"story"}, "p", {"x"}, [1], [10_000 + k], 900, 0, 1)
+        w.fold([own, wr.Region("table", {"list"}, "tr", {"rate"}, list(range(2, 6002)), texts, 600, 0, 0)])
+    w.settle()
+    assert w.constants == set(texts)
+
+
+def test_chains_are_the_best_ones():
+    r = np.random.default_rng(5)
+
+    def plain(like):
+        """Every pair of items and nodes in order, all chains by dynamic programming over pairs of pairs."""
+        pairs = [(i, j, float(like[i, j] - wr.LIKE + 1e-3)) for i, j in zip(*np.nonzero(like >= wr.LIKE))]
+        best, back = [], []
+        for k, (i, j, gain) in enumerate(pairs):
+            top, at = 0.0, -1
+            for q in range(k):
+                if best[q] > top and pairs[q][0] < i and pairs[q][1] < j:
+                    top, at = best[q], q
+            best.append(top + gain)
+            back.append(at)
+        out = [-2 - int(row.argmax()) if row.max() >= wr.LIKE else -1 for row in like]
+        k = max(range(len(best)), key=best.__getitem__) if best else -1
+        while k >= 0:
+            out[pairs[k][0]] = int(pairs[k][1])
+            k = back[k]
+        return out
+
+    for _ in range(200):
+        n, m = r.integers(1, 12, 2)
+        like = np.round(r.random((n, m)) * r.choice([1.0, 0.6]), 1).astype(np.float32)  # rounded: many equal sums
+        assert wr.align([like]) == wr.align([like[:2], like[2:]]) == plain(like)
+    assert wr.align([np.zeros((3, 0), np.float32)]) == [-1, -1, -1]
+
+
+def test_a_finished_wrapper_reads_the_same():
+    w = wr.Wrapper()
+    pages = [regions_of(layout(i % 3, i)[0])[1] for i in range(60)]
+    for regions in pages:
+        w.fold(regions)
+    w.settle()
+    whole, finished = wr.Wrapper.of(w.packed()), wr.Wrapper.of(w.packed(finished=True))
+    assert sum(len(n.words) for n in finished.whole) < sum(len(n.words) for n in whole.whole)
+    assert [n.known() for n in finished.whole] == [n.known() for n in whole.whole]
+    bodies, least = whole.bodies()
+    assert finished.bodies() == (bodies, least)
+    assert all(finished.body_regions(p, bodies, least) == whole.body_regions(p, bodies, least) for p in pages)
