@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import identity as ids
 from foliospark.operators.extraction import extract_articles
-from foliospark.sources.tables import table
+from foliospark.sources.tables import spread, table
+
+#: Parts whose pages one task makes and extracts, about. Files of such rows are small, so by their bytes few tasks would do it all.
+PARTS_A_TASK = 2500
 
 HEAD = '<meta name="article.id" content=" P{p_partkey} "><meta name="article.published" content="2024-01-15T05:01:00Z">'
 
@@ -55,7 +58,7 @@ BODY = """<article><header><h1>{p_name} *{p_brand}*</h1><p class="article-dek">A
 
 def rendered_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Every kind of block in one page per part."""
-    p = table(spark, sf, "part").select(*PART)
+    p = spread(table(spark, sf, "part").select(*PART), PARTS_A_TASK)
     head = filled(HEAD + '<link rel="alternate Canonical" href="HTTPS://Parts.Example:443/p/{p_partkey}/?b=2&amp;a=1#x">', *PART)
     pages = p.select(F.col("p_partkey").cast("string").alias("source_html_path"), page(head, filled(BODY, *PART)).alias("html"))
     x = extract_articles(pages)

@@ -1,12 +1,16 @@
 """Extraction: exact Markdown, metadata chains, identities, dates."""
 
+import gc
 from datetime import UTC, datetime
+from html.parser import HTMLParser
 
 import pytest
 
 from foliospark.functions import identity as ids
+from foliospark.functions import markdown, markup
 from foliospark.functions.markdown import escape, escape_lines, extract
 from foliospark.operators.extraction import extract_articles
+from foliospark.plans import extraction_queries
 
 HEAD = '<meta name="article.id" content=" A-1 "><meta name="article.published" content="2024-01-15T05:01:00Z">'
 
@@ -91,3 +95,66 @@ def test_new_york_dates(spark, instant, date):
 
     row = spark.range(1).select(ids.new_york_date(F.lit(instant).cast("timestamp")).alias("d")).first()
     assert str(row.d) == date
+
+
+def test_rendered_pages_are_spread(spark, tmp_path):
+    """One small file of parts is work for several tasks, and every part gives its page."""
+    rows = [(k, f"name {k}", "Brand#1", "SMALL TIN", k % 50, 900.5) for k in range(2 * extraction_queries.PARTS_A_TASK + 1)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = extraction_queries.rendered_pages(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 3
+    got = found.select("source_html_path", "article_id", "editorial_block_count").collect()
+    assert sorted((int(r[0]), r[1], r[2]) for r in got) == [(k, f"id:P{k}", 15) for k, *_ in rows]
+
+
+def test_markers_are_read_once(monkeypatch):
+    """However many sources ask for an element's markers, its words are found once; elements without markers have none to find."""
+    calls = []
+
+    class Counting:
+        def findall(self, text):
+            calls.append(text)
+            return pattern.findall(text)
+
+    pattern = markdown._WORDS
+    monkeypatch.setattr(markdown, "_WORDS", Counting())
+    a = article("<header><h1 class='Headline'>H</h1><p id=dek>D</p></header><div class=body><p>T</p><p>U</p></div>")
+    assert a.markdown_text == "# H\n\nD\n\nT\n\nU" and sorted(calls) == ["body", "dek", "headline"]
+
+
+def test_tree_needs_no_cycle_collector():
+    article("<p>x</p>")
+    gc.collect()
+    gc.disable()
+    try:
+        a = article("<p>x</p>" * 500)
+        assert a.editorial_block_count == 500 and gc.collect() < 100
+    finally:
+        gc.enable()
+
+
+@pytest.mark.parametrize("page", ["<P>a</P>b", "<p\x0c>a</p >b</ p>c", "a</>b<a<b>c", "<script><p>a</b></script>b", "<STYLE>a</p></STYLE>b", "<title>a<b>c</b></title>d", "<textarea><p>a</textarea>b", "<\u017fcript>a</\u017fcript>b", "<\u212a>a</\u212a>b", "<br/>a<p/>b<x-y>c</x-y>", "<!-- <p> -->a<p", "a</p", "<h1>a</h1><svg>b", "<!doctype html><p class=a>b&amp;c<!-- d --></p>e<i>", "<!DOCTYPE", "<p a='<b>'>c</p a='>'>d", "a<", "<p>a&lt", "<p a='b"])
+def test_short_way_through_tags(page):
+    """Tags without attributes give the events of the standard library's tokenizer."""
+
+    def events(short):
+        class Told(markup._Builder if short else HTMLParser):
+            def handle_starttag(self, tag, attrs):
+                out.append(("start", tag, attrs))
+
+            def handle_startendtag(self, tag, attrs):
+                out.append(("start and end", tag, attrs))
+
+            def handle_endtag(self, tag):
+                out.append(("end", tag))
+
+            def handle_data(self, data):
+                out.append(("data", data))
+
+        out = []
+        t = Told() if short else Told(convert_charrefs=True)
+        t.feed(page)
+        t.close()
+        return out
+
+    assert events(True) == events(False)
